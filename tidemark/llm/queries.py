@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .near_dups import op10_hyper_minhash
 from .quality_rules import op8_compression_bands
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op8_compression_bands": op8_compression_bands,
+        "op10_hyper_minhash": op10_hyper_minhash,
     }
 
 
