@@ -41,10 +41,6 @@ def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numeric(values, kind) -> pa.Array:
-    return pa.array(values, type=kind)
-
-
 def map_texts(df: DataFrame, per_batch: Callable[[dict, list[bytes | None]], dict], schema: str, keep: list[str], text: str = "text") -> DataFrame:
     """Runs per_batch(kept columns, UTF-8 texts) on Arrow batches of df[keep + text].
 

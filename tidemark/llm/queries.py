@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import OP7_SQL, op7_typed_parts
 from .near_dups import op10_hyper_minhash
+from .pii import op9_weak_supervision
 from .quality_rules import op8_compression_bands
+from .substring_dedup import op2_gear_chunks
+from .token_counts import op1_offset_attribution
+from .toxicity import op3_bigru_attention
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_offset_attribution": op1_offset_attribution,
+        "op2_gear_chunks": op2_gear_chunks,
+        "op3_bigru_attention": op3_bigru_attention,
+        "op7_typed_parts": op7_typed_parts,
+        "op9_weak_supervision": op9_weak_supervision,
         "op8_compression_bands": op8_compression_bands,
         "op10_hyper_minhash": op10_hyper_minhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_typed_parts": OP7_SQL}
