@@ -38,7 +38,7 @@ SMALL_MOST, LARGE_LEAST = 344, 256
 #: Links need this percentage of the union; estimates need LEAST_ESTIMATE, four deviations of 128 registers below it.
 PERCENT = 75
 LEAST_ESTIMATE = 0.60
-BLOCK = 64
+BLOCK = 256
 CACHED_WORDS = 500_000
 
 _P, _C1, _C2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -204,7 +204,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
                 b.append(yr[j])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (a, b)], names=["a", "b"])
 
-    small_batches(blocks.sparkSession, 64)
+    small_batches(blocks.sparkSession, 16)
     return blocks.select("band", "way", "seekers", "others").mapInArrow(run, "a long, b long")
 
 
