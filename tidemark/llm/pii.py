@@ -169,6 +169,25 @@ def fit(counts: list[tuple[int, int]]) -> list[int]:
     return [c for c, z in zip(codes, one_hot(every) @ w, strict=True) if z >= 0]
 
 
+def maybe_personal(body: bytes) -> bool:
+    """Every kind has an @ or a digit."""
+    return b"@" in body or len(body) != len(body.translate(None, b"0123456789"))
+
+
+def pattern_counts(docs: DataFrame) -> list[tuple[int, int]]:
+    """(pattern, count) of all candidates of docs(text), at most PATTERNS."""
+
+    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
+        n: Counter = Counter()
+        for body in bodies:
+            if body and maybe_personal(body):
+                s = body.decode("utf-8", "replace")
+                n.update(p for _, _, p in candidates(s, base_spans(s)))
+        return {"pattern": pa.array(list(n), pa.int32()), "n": pa.array(list(n.values()), pa.int64())}
+
+    return [tuple(r) for r in map_texts(docs, per_batch, "pattern int, n long", []).groupBy("pattern").agg(F.sum("n")).orderBy("pattern").collect()]
+
+
 def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, counts, base_sha256, base and added spans, spans.
 
@@ -183,7 +202,7 @@ def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         for body in bodies:
             body = body or b""
             found, more = [], []
-            if b"@" in body or len(body) != len(body.translate(None, b"0123456789")):
+            if maybe_personal(body):
                 s = body.decode("utf-8", "replace")
                 found = base_spans(s)
                 more = candidates(s, found)
@@ -209,5 +228,40 @@ def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return out.select("doc_id", *map(count, KINDS), "base_sha256", written.alias("spans"), "base", "added")
 
 
+def redacted(docs: DataFrame, length: str | None = None) -> DataFrame:
+    """The rows of docs(text, ...), their personal data replaced by [EMAIL], [IP], [CARD], [PHONE] or [SECRET].
+
+    Spans that touch are replaced by the first one's kind. The column named by length is set to the new length in
+    code points. Null texts stay null. All columns stay as they are otherwise. Two passes over the texts: the first
+    counts the patterns of all candidates for the fit.
+    """
+    others = [c for c in docs.columns if c not in ("text", length)]
+    taken = set(fit(pattern_counts(docs)))
+
+    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
+        texts = []
+        for body in bodies:
+            if body is not None and maybe_personal(body):
+                s = body.decode("utf-8", "replace")
+                base = base_spans(s)
+                spans = sorted([(a, b, k) for k, a, b in base] + [(a, b, "secret") for a, b, p in candidates(s, base) if p in taken])
+                out, end = [], 0
+                for a, b, k in spans:
+                    if a >= end:
+                        out += [s[end:a], f"[{k.upper()}]"]
+                    end = max(end, b)
+                texts.append("".join([*out, s[end:]]))
+            else:
+                texts.append(None if body is None else body.decode("utf-8", "replace"))
+        return {f"k{i}": kept[c] for i, c in enumerate(others)} | {"body": pa.array(texts, pa.string())}
+
+    kinds = dict(docs.dtypes)
+    out = map_texts(docs, per_batch, ", ".join([f"k{i} {kinds[c]}" for i, c in enumerate(others)] + ["body string"]), others)
+    new = {c: F.col(f"k{i}") for i, c in enumerate(others)} | {"text": F.col("body")}
+    if length:
+        new[length] = F.length("body").cast(kinds[length])
+    return out.select(*[new[c].alias(c) for c in docs.columns])
+
+
 def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(table(spark, sf_dir, "documents")).drop("base", "added")

@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .chat_format import OP7_SQL, op7_typed_parts
+from .decontaminate import op5_spaced_seeds
+from .mixing import op6_soft_membership
 from .near_dups import op10_hyper_minhash
 from .pii import op9_weak_supervision
+from .quality_classifier import op4_cumulative_link
 from .quality_rules import op8_compression_bands
 from .substring_dedup import op2_gear_chunks
 from .token_counts import op1_offset_attribution
@@ -20,8 +25,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_offset_attribution": op1_offset_attribution,
         "op2_gear_chunks": op2_gear_chunks,
         "op3_bigru_attention": op3_bigru_attention,
+        "op4_cumulative_link": op4_cumulative_link,
+        "op5_spaced_seeds": op5_spaced_seeds,
+        "op6_soft_membership": op6_soft_membership,
         "op7_typed_parts": op7_typed_parts,
         "op9_weak_supervision": op9_weak_supervision,
+        "pipeline": corpus_pipeline.run,
         "op8_compression_bands": op8_compression_bands,
         "op10_hyper_minhash": op10_hyper_minhash,
     }
