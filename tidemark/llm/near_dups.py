@@ -9,9 +9,10 @@ empty; texts with LARGE_LEAST or more deal their shingles out to the buckets. Te
 two texts of a similarity of 3/4 have a way in common. At that similarity a band misses with 1 - 0.75^4, all 32 with
 5e-6.
 
-Identical sets become one class before all else. Then two rounds:
-1. In each bucket of a band every class is paired with one leader only (drawn by hash, so that the bands have different
-   ones); of its estimates a class takes the best to the full sets. That joins most of a large group.
+Identical sets become one class before all else. Then:
+1. In each bucket of a band every class is paired with two leaders only: the class that shares most buckets with most others, which
+   in a group of near copies is the one that was edited least, and one drawn by hash. In each of a few rounds a class
+   takes the best by estimate of the pairs that lead to another component to the full sets. That joins large groups.
 2. What then shares a bucket without sharing a component is compared in blocks: the classes outside of the bucket's
    largest component against all of the bucket, by registers alone. Every pair that passes goes to the full sets.
 """
@@ -39,6 +40,7 @@ SMALL_MOST, LARGE_LEAST = 344, 256
 PERCENT = 75
 LEAST_ESTIMATE = 0.60
 BLOCK = 256
+ROUNDS = 4
 CACHED_WORDS = 500_000
 
 _P, _C1, _C2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -215,6 +217,22 @@ def _bands(sigs: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("way", "band", "piece").alias("key"), "band", "way", "rep")
 
 
+def named(pairs: DataFrame, comps: DataFrame, u: str, v: str) -> DataFrame:
+    """Adds to pairs the components of both sides, as cu and cv for sides u and v; a class in no link is its own."""
+    for c in (u, v):
+        side = comps.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        pairs = pairs.join(side, c, "left").withColumn(f"c{c}", F.coalesce(f"c{c}", c))
+    return pairs
+
+
+def absorb(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """comps(node, component) after links(u, v) have joined some of them."""
+    joined = materialise(components(named(links, comps, "u", "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))), "joined")
+    moved = comps.join(joined.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
+    moved = moved.select("node", F.coalesce("c", "component").alias("component"))
+    return materialise(moved.unionByName(joined.join(comps, "node", "left_anti")), "comps")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, n_class (documents of its very set) and kept.
 
@@ -222,6 +240,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     doc_id, whose component_id is null and which are kept. Texts of one to four words have one shingle. Repeated rows
     give repeated rows. An empty table gives none. Other columns are neither read nor returned.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sets = materialise(signatures(docs), "sets")
     usable = sets.filter("digest is not null and doc_id is not null")
@@ -231,22 +250,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sigs = materialise(firsts.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), either).select("rep", "n", "w.*").filter("sig is not null"), "sigs")
 
     bands = _bands(sigs)
-    draw = F.struct(F.xxhash64("rep", F.col("band") % 4).alias("h"), F.col("rep").alias("leader"))
-    leaders = bands.groupBy("key").agg(F.min(draw).alias("d"), F.count("*").alias("m")).filter("m > 1").select("key", "d.leader")
-    hits = materialise(bands.join(materialise(leaders, "leaders"), "key"), "hits")
+    shared = materialise(bands.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
+    hits = materialise(bands.join(shared, "key"), "hits")
+    central = materialise(hits.groupBy("rep").agg(F.sum("m").alias("central")), "central")
+    most = F.max(F.struct("central", F.xxhash64("rep").alias("x"), F.col("rep").alias("leader")))
+    drawn = F.min(F.struct(F.xxhash64("rep", F.col("band") % 4).alias("x"), F.col("rep").alias("leader")))
+    leaders = hits.join(central, "rep").groupBy("key").agg(most.alias("most"), drawn.alias("drawn"))
+    leaders = materialise(leaders.select("key", F.array_distinct(F.array("most.leader", "drawn.leader")).alias("leaders")), "leaders")
     texts = docs.filter("doc_id is not null").join(hits.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = materialise(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("body")).dropDuplicates(["rep"]), "texts")
 
     def sig(name: str, side: str) -> DataFrame:
         return sigs.select(F.col("rep").alias(name), "way", F.col("n").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
 
-    stars = hits.filter("rep <> leader").groupBy(F.col("rep").alias("a"), F.col("leader").alias("b")).agg(F.min("way").alias("way"))
+    stars = hits.join(leaders, "key").select(F.col("rep").alias("a"), "way", F.explode("leaders").alias("b")).filter("a <> b")
+    stars = stars.groupBy("a", "b").agg(F.min("way").alias("way"))
     stars = stars.join(sig("a", "a"), ["a", "way"]).join(sig("b", "b"), ["b", "way"])
-    stars = stars.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    best = estimates(stars).groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b"))
-    first = materialise(components(confirmed(best, texts)), "round1")
-
-    now = hits.join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "way", "rep", F.coalesce("component", "rep").alias("comp"))
+    stars = materialise(estimates(stars.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))), "stars")
+    comps = spark.createDataFrame([], "node long, component long")
+    for _ in range(ROUNDS):
+        apart = named(stars, comps, "a", "b").filter("ca <> cb").select("a", "b", "est")
+        best = materialise(apart.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "best")
+        links = materialise(confirmed(best, texts), "links")
+        if not links.limit(1).count():
+            break
+        comps = absorb(comps, links)
+        stars = materialise(apart.join(best, ["a", "b"], "left_anti"), "stars")
+
+    now = hits.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "way", "rep", F.coalesce("component", "rep").alias("comp"))
     now = materialise(now, "now")
     count = now.groupBy("key", "comp").agg(F.count("*").alias("c"))
     mixed = count.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("home"), F.sum("c").alias("m"), F.max("c").alias("most")).filter("m > most")
@@ -257,16 +288,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     seekers = member.filter("seeks").select("key", "band", "way", F.pmod(F.xxhash64("rep"), "ns").alias("s"), F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("t"), fields.alias("seeker"), F.lit(None).alias("other"))
     others = member.select("key", "band", "way", F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("s"), F.pmod(F.xxhash64("rep"), "nt").alias("t"), F.lit(None).alias("seeker"), fields.alias("other"))
     blocks = seekers.unionByName(others).groupBy("key", "band", "way", "s", "t").agg(F.collect_list("seeker").alias("seekers"), F.collect_list("other").alias("others"))
-    second = confirmed(block_pairs(blocks).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts)
-    named = second.join(first.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(first.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
-    merged = components(named.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
-
-    # merged has nodes that are a first component or a class alone
-    merged = materialise(merged, "round2")
-    comps = first.select(F.col("node").alias("rep"), F.col("component").alias("c1"))
-    full = classes.join(comps, "rep", "left").withColumn("c1", F.coalesce("c1", "rep"))
-    full = full.join(merged.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
-    full = materialise(full.select("digest", F.coalesce("c2", "c1").alias("c"), "n_class"), "classes")
+    pairs = block_pairs(blocks).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    comps = absorb(comps, confirmed(pairs, texts))
+
+    full = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    full = materialise(full.select("digest", F.coalesce("component", "rep").alias("c"), "n_class"), "classes")
     out = sets.select("doc_id", "n_shingles", "digest").join(full, "digest", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
