@@ -23,7 +23,7 @@ TARGETS = {"good": 0.93, "toxic": 0.03, "low": 0.04}
 
 @dataclass(frozen=True)
 class Settings:
-    """rows: hashed words. most_per_domain: training documents of a domain at most, by hash of their ids. least_z: log odds of fewer standard errors count as 0.
+    """rows: hashed words. most_per_domain: training documents of a domain at most, by hash of their ids. least_z: see word_odds.
 
     steps, tolerance: of the descent; it ends when no domain is further from its target than this part of all tokens. refresh: steps after
     which the rates are written out, so that the plan stays short.
@@ -62,12 +62,12 @@ class Membership:
 
 
 def word_odds(seen: np.ndarray, least_z: float) -> np.ndarray:
-    """Log odds of rows against the first domain, from seen [domain, row], the documents of a domain that hold a row."""
+    """Log odds of rows against the first domain, from seen [domain, row], the documents of a domain that hold a row; 0 where the shares differ by less than least_z errors."""
     of = seen.sum(1, keepdims=True)
-    odds = np.log((seen + 0.5) / (of + 0.5 * seen.shape[1]))
-    error = np.sqrt(1 / (seen + 0.5))
-    odds, error = odds - odds[0], np.sqrt(error**2 + error[0] ** 2)
-    return np.where((np.abs(odds) < least_z * error) | (of == 0), 0, odds)
+    odds = np.log((seen + 0.5) / (of + 1))
+    share, both = seen / np.maximum(of, 1), (seen + seen[0]) / np.maximum(of + of[0], 1)
+    error = np.sqrt(both * (1 - both) * (1 / np.maximum(of, 1) + 1 / np.maximum(of[0], 1)))
+    return np.where((np.abs(share - share[0]) <= least_z * error) | (of == 0), 0, odds - odds[0])
 
 
 def fit_links(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-3, steps: int = 2000, rate: float = 0.05) -> np.ndarray:
