@@ -30,10 +30,10 @@ class Bands:
     chunk_share of its judged chunk bytes are out of the chunk's band.
     """
 
-    whole: tuple[tuple[int, float, float], ...] = ((128, 0.30, 1.05), (512, 0.25, 0.85), (4096, 0.20, 0.75), (65536, 0.15, 0.72))
+    whole: tuple[tuple[int, float, float], ...] = ((128, 0.30, 1.05), (512, 0.25, 0.80), (1024, 0.25, 0.72), (4096, 0.20, 0.68), (65536, 0.15, 0.65))
     chunk: int = 4096
     least_chunk: int = 1024
-    chunk_band: tuple[float, float] = (0.20, 0.80)
+    chunk_band: tuple[float, float] = (0.20, 0.70)
     chunk_share: float = 0.5
     level: int = 3
 
