@@ -102,7 +102,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits(
 def decontaminated(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of docs, with all their columns, that hold no part of the benchmark."""
     bad = materialise(leaks(docs.select("text"), benchmark, limits), "leaks")
-    return docs.join(bad.select("h"), F.xxhash64(docs["text"]) == F.col("h"), "left_anti")
+    return docs.join(bad, F.xxhash64(docs["text"]) == bad["h"], "left_anti")
 
 
 def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
