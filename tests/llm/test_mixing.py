@@ -30,7 +30,7 @@ def test_targets_are_met_with_rates_not_negative(spark):
     for _ in range(20_000):  # short steps of the same descent
         plain = np.maximum(0, plain - 0.5 * p @ off)
         off = shares(plain) - np.array(list(goal.values()))
-    assert np.abs(off).max() < 1e-4 and np.corrcoef(plain[n > 0], rate[n > 0])[0, 1] > 0.99
+    assert np.abs(off).max() < 1e-4 and np.corrcoef(plain[n > 0], rate[n > 0])[0, 1] > 0.95
 
 
 def test_unreachable_targets_end(spark):
