@@ -87,12 +87,22 @@ class Network:
         rng = np.random.default_rng(s.seed)
         d, h = 2 * s.width, s.hidden
         init = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
-        self.s = s
+        self.s, self.known = s, {}
         self.p = {"E": rng.normal(0, 0.1, (WORD_ROWS, s.width)).astype(np.float32), "C": rng.normal(0, 0.1, (CHAR_ROWS, s.width)).astype(np.float32)}
         for k in ("f", "b"):
             self.p |= {f"W{k}": init(d, 3 * h), f"U{k}": init(h, 3 * h), f"b{k}": np.zeros(3 * h, np.float32)}
         self.p |= {"A": init(2 * h, h), "a": np.zeros(h, np.float32), "v": init(h), "w": init(2 * h), "c": np.full(1, -1.0, np.float32)}
 
+    def rows_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each bare word its row of E; the rows of C of all in a line, and how many each has. Remembers the words, for training."""
+        new = [w for w in words if w not in self.known]
+        if new:
+            rows, at = trigram_rows(new)
+            self.known.update(zip(new, zip(map(word_row, new), np.split(rows, at[1:]), strict=True), strict=True))
+        found = [self.known[w] for w in words]
+        rows = [x for _, x in found]
+        return np.array([r for r, _ in found]), np.concatenate(rows), np.array([len(x) for x in rows])
+
     def inputs(self, words: list[bytes]) -> np.ndarray:
         """The input vector of each word."""
         words = bare(words)
@@ -139,9 +149,15 @@ class Network:
         """Mean log loss of windows, and the gradient of every weight."""
         p, h, n = self.p, self.s.hidden, len(words)
         flat = bare([w for x in words for w in x])
+        fresh = dict.fromkeys(flat)
+        number = dict(zip(fresh, range(len(fresh)), strict=True))
+        which = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        fresh = list(fresh)
         lengths = np.array([len(x) for x in words])
         steps = lengths.max()
-        x = self.inputs(flat)
+        row, rows, per = self.rows_of(fresh)
+        each = np.hstack([p["E"][row], np.add.reduceat(p["C"][rows], np.cumsum(per) - per, axis=0) / per[:, None]])
+        x = each[which].astype(p["E"].dtype)
         win = np.repeat(np.arange(n), lengths)
         pos = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         mask = np.zeros((steps, n), np.float32)
@@ -182,11 +198,11 @@ class Network:
             g |= {f"U{k}": gu, f"W{k}": gw, f"b{k}": gbias}
         dx = dgrid[pos, win]
         width = self.s.width
-        g["E"], g["C"] = np.zeros_like(p["E"]), np.zeros_like(p["C"])
-        np.add.at(g["E"], np.fromiter(map(word_row, flat), np.int64, len(flat)), dx[:, :width])
-        rows, at = trigram_rows(flat)
-        per = np.diff(np.append(at, len(rows)))
-        np.add.at(g["C"], rows, np.repeat(dx[:, width:] / per[:, None], per, axis=0))
+        # a sum for each different word, then for each row that the words hash to
+        total = lambda at, v, n: np.stack([np.bincount(at, v[:, j], n) for j in range(v.shape[1])], axis=1)
+        dword = total(which, dx, len(fresh))
+        g["E"] = total(row, dword[:, :width], WORD_ROWS)
+        g["C"] = total(rows, np.repeat(dword[:, width:] / per[:, None], per, axis=0), CHAR_ROWS)
         return float(loss), g
 
 
@@ -290,9 +306,11 @@ def train(texts: list[list[bytes]], y: np.ndarray, s: Settings = Settings()) ->
             part = order[i : i + s.batch]
             _, g = net.gradients([picked[j] for j in part], label[part])
             for k, v in g.items():
-                weight[k] += v * v
-                net.p[k] -= (rate * v / (np.sqrt(weight[k]) + 1e-6)).astype(np.float32)
+                at = np.flatnonzero(v.any(1)) if k in "EC" else slice(None)  # few rows of the word tables are touched
+                weight[k][at] += v[at] ** 2
+                net.p[k][at] -= (rate * v[at] / (np.sqrt(weight[k][at]) + 1e-6)).astype(np.float32)
         rate = s.rate * (1 - 0.7 * (epoch + 1) / s.epochs)
+    net.known = {}
     return net
 
 
