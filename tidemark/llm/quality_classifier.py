@@ -87,7 +87,7 @@ class Ordinal:
 
 def gradient(w: np.ndarray, cut: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Negative log likelihood of grades y, and its gradients by w and by the thresholds cut."""
-    z = x @ w
+    z = (x @ w.astype(x.dtype)).astype(float)
     edge = np.concatenate([[-np.inf], cut, [np.inf]])
     upper, lower = (1 / (1 + np.exp(-np.clip(edge[y + k] - z, -40, 40))) for k in (1, 0))
     p = np.maximum(upper - lower, 1e-9)
@@ -96,7 +96,7 @@ def gradient(w: np.ndarray, cut: np.ndarray, x: np.ndarray, y: np.ndarray, weigh
     gcut = np.zeros(len(cut) + 2)
     np.add.at(gcut, y + 1, -weight * du / p)
     np.add.at(gcut, y, weight * dl / p)
-    return float(-(weight * np.log(p)).sum()), x.T @ gz, gcut[1:-1]
+    return float(-(weight * np.log(p)).sum()), (x.T @ gz.astype(x.dtype)).astype(float), gcut[1:-1]
 
 
 def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings()) -> Ordinal:
@@ -105,7 +105,7 @@ def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings(
     if not len(y):
         return Ordinal(np.zeros(x.shape[1], np.float32), np.arange(grades - 1) - 2.0)
     mean, spread = x.mean(0), x.std(0) + 1e-6 + 0.02 * x.std(0).max()
-    x = (x - mean) / spread
+    x = ((x - mean) / spread).astype(np.float32)
     count = np.bincount(y, minlength=grades)
     weight = (share / np.maximum(count, 1))[y]
     weight = weight / weight.sum()
