@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..functions import circular_mean, field, first_truthy, parse_iso, to_number
+from ..functions import circular_mean, first_truthy, parse_iso, to_number
 from ..operators.filters import newer_than
 from ..operators.joins import BUCKET_KEYS
 from ..operators.series import latest_points, newest
@@ -88,9 +88,17 @@ def land_predictions(stream: DataFrame, path: str, checkpoint: str, every: str =
     return start(stream.writeStream.format("json").option("path", path), checkpoint, every, once)
 
 
+#: Everything is read as text: senders differ in what they quote.
+MESSAGE = (
+    "timestamp string, HourUTC string, HourDK string, dk_area string, PriceArea string, value string, total_consumption_mwh string, ShareMWh string, "
+    "total_production_mwh string, predictions struct<consumption_mwh string, production_mwh string, net_balance_mwh string>"
+)
+
+
 def message_points(messages: DataFrame, series: str, value: str = "value") -> DataFrame:
     """(timestamp, value, production, net_balance, dk_area, type) of JSON messages; the first name of a field that says something counts."""
-    f = lambda *paths: first_truthy(*[field(value, p) for p in paths])
+    messages = messages.withColumn("_m", F.from_json(F.col(value).cast("string"), MESSAGE))
+    f = lambda *paths: first_truthy(*[F.col(f"_m.{p}") for p in paths])
     number = lambda *paths: F.coalesce(to_number(f(*paths)), F.lit(0.0))
     if series == "actual":
         amount, made, net = number("total_consumption_mwh", "value", "ShareMWh"), number("total_production_mwh"), F.lit(0.0)
