@@ -61,7 +61,7 @@ def test_odd_rows(spark, odd, none):
     assert {r.doc_id for r in rows} >= {1, 6} and None not in {r.doc_id for r in rows}
     assert not {2, 3, 4, 7} & {r.doc_id for r in rows}
     inside = [r for r in rows if r.doc_id == 8]
-    assert inside and inside[0].kept_chars == 512  # one chunk over and over
+    assert inside and inside[0].kept_chars == 128  # one chunk over and over
 
 
 def test_every_repeated_chunk_on_a_table(spark, sf):
@@ -81,7 +81,7 @@ def test_every_repeated_chunk_on_a_table(spark, sf):
             if seen.get(c, 0) > 1 and run and run[1] == a:
                 run = (run[0], b)
             else:
-                if run and run[1] - run[0] >= 96:
+                if run and run[1] - run[0] >= 128:
                     runs.add((i, *run))
                 run = (a, b) if seen.get(c, 0) > 1 else None
     assert got == runs

@@ -26,9 +26,9 @@ GEAR = np.random.default_rng(7919).integers(0, 2**16, 256, dtype=np.uint16)
 class Chunking:
     """mean: bytes between boundaries beyond the least; least, most: bytes of a chunk (most can be passed by 3 bytes of a character)."""
 
-    mean: int = 32
+    mean: int = 24
     least: int = 8
-    most: int = 512
+    most: int = 128
 
 
 def gear_hash(raw: np.ndarray) -> np.ndarray:
@@ -93,7 +93,7 @@ def chunks(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     return map_texts(docs, per_batch, "doc_id long, start int, end int, digest long", ["doc_id"])
 
 
-def repeated_passages(docs: DataFrame, least_chars: int = 96, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, least_chars: int = 128, how: Chunking = Chunking(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Runs of at least least_chars characters of chunks that occur twice or more in docs.
 
     One row for each run: doc_id, start, end (code points), n_chunks, kept_chars (in chunks whose first occurrence by
