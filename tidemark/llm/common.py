@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -24,13 +25,14 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a local one only where none is set, as in tests."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder that the driver and all executors see, from spark.checkpoint.dir; an own one only where that is unset, as in tests."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "") or _own_dir()
 
 
 def materialise(df: DataFrame, name: str = "t") -> DataFrame:
