@@ -299,4 +299,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def op10_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("n_class")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), e AS MATERIALIZED (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s
+), links AS MATERIALIZED (
+    SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), pairs AS MATERIALIZED (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach(doc_id, seen) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, b.v FROM reach r JOIN pairs b ON r.seen = b.u
+), c AS (
+    SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c USING (doc_id)
+"""

@@ -11,7 +11,7 @@ import corpus_pipeline
 from .chat_format import OP7_SQL, op7_typed_parts
 from .decontaminate import op5_spaced_seeds
 from .mixing import op6_soft_membership
-from .near_dups import op10_hyper_minhash
+from .near_dups import OP10_SQL, op10_hyper_minhash
 from .pii import op9_weak_supervision
 from .quality_classifier import op4_cumulative_link
 from .quality_rules import op8_compression_bands
@@ -37,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_typed_parts": OP7_SQL}
+    return {"op7_typed_parts": OP7_SQL, "op10_hyper_minhash": OP10_SQL}
