@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Null and empty texts and those of white space alone have no shingles and stay on their own; so do rows without a
     doc_id, whose component_id is null and which are kept. Texts of one to four words have one shingle. Repeated rows
-    give repeated rows. An empty table gives none. Other columns are neither read nor returned.
+    give repeated rows; rows that share a doc_id are one node of the links. An empty table gives none. Other columns are neither read nor returned.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     others = member.select("key", "band", "way", F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("s"), F.pmod(F.xxhash64("rep"), "nt").alias("t"), F.lit(None).alias("seeker"), fields.alias("other"))
     blocks = seekers.unionByName(others).groupBy("key", "band", "way", "s", "t").agg(F.collect_list("seeker").alias("seekers"), F.collect_list("other").alias("others"))
     pairs = block_pairs(blocks).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    comps = absorb(comps, confirmed(pairs, texts))
+    comps = absorb(comps, confirmed(materialise(pairs, "pairs"), texts))  # written before the batches grow again
 
     full = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     full = materialise(full.select("digest", F.coalesce("component", "rep").alias("c"), "n_class"), "classes")
