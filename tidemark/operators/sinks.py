@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import finite, iso_text, message_key
-from .joins import BUCKET_KEYS, new_only
+from .joins import BUCKET_KEYS, new_only, small
 from .maintenance import exists, swap
 from .series import latest_per_key
 
@@ -78,7 +78,7 @@ def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = ()
         return
     stored = spark.read.parquet(path)
     days = fresh.select("day").distinct()
-    old = stored.join(F.broadcast(days), "day", "left_semi")  # a row for each day of a batch
+    old = stored.join(small(days), "day", "left_semi")
     kept = new_only(old, fresh, ["time", "type"]).select(*fresh.columns)
     beside = path.rstrip("/") + ".merging"
     kept.unionByName(fresh).write.mode("overwrite").partitionBy("day").parquet(beside)

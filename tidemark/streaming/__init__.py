@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions import circular_mean, first_truthy, parse_iso, to_number
 from ..operators.filters import newer_than
-from ..operators.joins import BUCKET_KEYS
+from ..operators.joins import BUCKET_KEYS, small
 from ..operators.series import latest_points, newest
 from ..operators.sinks import append_new
 
@@ -30,9 +30,9 @@ def bucket_stream(obs: DataFrame, params: tuple[str, ...], width: str = "10 minu
 def area_stream(obs: DataFrame, dim: DataFrame, params: tuple[str, ...], width: str = "10 minutes", delay: str = "20 minutes", maxima: tuple[str, ...] = ("wind_max",), counted: str | None = "temp_dry", direction: str | None = None) -> DataFrame:
     """Means over the station means for each area and window: dk_area, bucket, the parameters, n_stations.
 
-    dim(station_id, dk_area) is a static table that fits a broadcast: the stations known.
+    dim(station_id, dk_area) is a static table, the stations known; it is broadcast if it is small.
     """
-    wide = bucket_stream(obs, params, width, delay).join(F.broadcast(dim), "station_id")
+    wide = bucket_stream(obs, params, width, delay).join(small(dim), "station_id")
     aggs: list[Column] = []
     for p in params:
         if p == direction:
