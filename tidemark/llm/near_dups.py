@@ -14,7 +14,8 @@ Identical sets become one class before all else. Then:
    in a group of near copies is the one that was edited least, and one drawn by hash. In each of a few rounds a class
    takes the best by estimate of the pairs that lead to another component to the full sets. That joins large groups.
 2. What then shares a bucket without sharing a component is compared in blocks: the classes outside of the bucket's
-   largest component against all of the bucket, by registers alone. Every pair that passes goes to the full sets.
+   largest component against all of the bucket, by registers and then by the 1024 smallest hashes, which are all of most
+   sets. Every pair that passes goes to the full sets.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ SMALL_MOST, LARGE_LEAST = 344, 256
 #: Links need this percentage of the union; estimates need LEAST_ESTIMATE, four deviations of 128 registers below it.
 PERCENT = 75
 LEAST_ESTIMATE = 0.60
+#: In blocks the FINE smallest hashes decide after that: all of a set, or of a larger one a sample with a deviation of 0.0135.
+FINE = 1024
+LEAST_EXACT, LEAST_SAMPLED = 0.74, 0.69
 BLOCK = 256
 ROUNDS = 4
 CACHED_WORDS = 500_000
@@ -176,8 +180,28 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
 
 
+def with_fine(texts: DataFrame) -> DataFrame:
+    """Adds to texts(rep, body) fine: the upper halves of the FINE smallest shingle hashes, in order."""
+    hashes = WordHashes()
+
+    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
+        fine = [(shingles(b, hashes)[:FINE] >> np.uint64(32)).astype("<u4").tobytes() for b in bodies]
+        return {"rep": kept["rep"], "body": pa.array(bodies, pa.binary()), "fine": pa.array(fine, pa.binary())}
+
+    return map_texts(texts, per_batch, "rep long, body binary, fine binary", ["rep"], "body")
+
+
+def close(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, by their smallest hashes in order, may be as similar as a link asks."""
+    both = np.intersect1d(x, y)
+    if max(len(x), len(y)) < FINE:
+        return len(both) >= LEAST_EXACT * (len(x) + len(y) - len(both))
+    union = np.union1d(x, y)[:FINE]  # the smallest hashes of the union: both sides have all of these that are theirs
+    return np.searchsorted(both, union[-1], "right") >= LEAST_SAMPLED * len(union)
+
+
 def block_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs that pass the estimate, from blocks(band, way, seekers, others), lists of (rep, comp, n, sig).
+    """Pairs that pass both estimates, from blocks(band, way, seekers, others), lists of (rep, comp, n, sig, fine, seeks).
 
     A pair that meets in several bands comes from the first one only.
     """
@@ -201,9 +225,10 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
                 same = (x[:, None, :] == y[None, :, :]).reshape(len(x), len(y), BANDS, ROWS).all(3)
                 some = (x > 0).reshape(len(x), BANDS, ROWS).any(2)
                 fits &= (same & some[:, None, :]).argmax(2) == row["band"]
-                i, j = fits.nonzero()
-                a.append(xr[i])
-                b.append(yr[j])
+                xf, yf = ([np.frombuffer(r["fine"], "<u4") for r in side] for side in (s, t))
+                near = [(i, j) for i, j in zip(*fits.nonzero(), strict=True) if close(xf[i], yf[j])]
+                a.append(xr[[i for i, _ in near]])
+                b.append(yr[[j for _, j in near]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (a, b)], names=["a", "b"])
 
     small_batches(blocks.sparkSession, 16)
@@ -258,7 +283,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     leaders = hits.join(central, "rep").groupBy("key").agg(most.alias("most"), drawn.alias("drawn"))
     leaders = materialise(leaders.select("key", F.array_distinct(F.array("most.leader", "drawn.leader")).alias("leaders")), "leaders")
     texts = docs.filter("doc_id is not null").join(hits.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = materialise(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("body")).dropDuplicates(["rep"]), "texts")
+    texts = materialise(with_fine(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("body")).dropDuplicates(["rep"])), "texts")
 
     def sig(name: str, side: str) -> DataFrame:
         return sigs.select(F.col("rep").alias(name), "way", F.col("n").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
@@ -283,8 +308,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     mixed = count.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("home"), F.sum("c").alias("m"), F.max("c").alias("most")).filter("m > most")
     blocks_of = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed = materialise(mixed.select("key", "home", blocks_of(F.col("m") - F.col("most")).alias("ns"), blocks_of(F.col("m")).alias("nt")), "mixed")
-    member = now.join(mixed, "key").join(sigs, ["rep", "way"]).withColumn("seeks", F.col("comp") != F.col("home"))
-    fields = F.struct("rep", "comp", "n", "sig", "seeks")
+    member = now.join(mixed, "key").join(sigs, ["rep", "way"]).join(texts.select("rep", "fine"), "rep").withColumn("seeks", F.col("comp") != F.col("home"))
+    fields = F.struct("rep", "comp", "n", "sig", "fine", "seeks")
     seekers = member.filter("seeks").select("key", "band", "way", F.pmod(F.xxhash64("rep"), "ns").alias("s"), F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("t"), fields.alias("seeker"), F.lit(None).alias("other"))
     others = member.select("key", "band", "way", F.explode(F.sequence(F.lit(0), F.col("ns") - 1)).alias("s"), F.pmod(F.xxhash64("rep"), "nt").alias("t"), F.lit(None).alias("seeker"), fields.alias("other"))
     blocks = seekers.unionByName(others).groupBy("key", "band", "way", "s", "t").agg(F.collect_list("seeker").alias("seekers"), F.collect_list("other").alias("others"))
