@@ -263,7 +263,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Null and empty texts and those of white space alone have no shingles and stay on their own; so do rows without a
     doc_id, whose component_id is null and which are kept. Texts of one to four words have one shingle. Repeated rows
-    give repeated rows; rows that share a doc_id are one node of the links. An empty table gives none. Other columns are neither read nor returned.
+    give repeated rows; rows that share a doc_id are one node of the links. An empty table gives none. Other columns
+    are neither read nor returned.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -285,12 +286,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = docs.filter("doc_id is not null").join(hits.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = materialise(with_fine(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("body")).dropDuplicates(["rep"])), "texts")
 
-    def sig(name: str, side: str) -> DataFrame:
+    def sig(name: str) -> DataFrame:
         return sigs.select(F.col("rep").alias(name), "way", F.col("n").alias(f"n{name}"), F.col("sig").alias(f"s{name}"))
 
     stars = hits.join(leaders, "key").select(F.col("rep").alias("a"), "way", F.explode("leaders").alias("b")).filter("a <> b")
     stars = stars.groupBy("a", "b").agg(F.min("way").alias("way"))
-    stars = stars.join(sig("a", "a"), ["a", "way"]).join(sig("b", "b"), ["b", "way"])
+    stars = stars.join(sig("a"), ["a", "way"]).join(sig("b"), ["b", "way"])
     stars = materialise(estimates(stars.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))), "stars")
     comps = spark.createDataFrame([], "node long, component long")
     for _ in range(ROUNDS):
