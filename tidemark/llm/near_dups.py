@@ -44,7 +44,7 @@ LEAST_ESTIMATE = 0.60
 FINE = 1024
 LEAST_EXACT, LEAST_SAMPLED = 0.74, 0.69
 BLOCK = 256
-ROUNDS = 4
+ROUNDS = 2
 CACHED_WORDS = 500_000
 
 _P, _C1, _C2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
