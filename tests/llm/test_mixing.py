@@ -75,3 +75,14 @@ def test_odd_rows(odd, none, labels):
     assert len(rows) == odd.count() and all(r.n_tokens == 0 for r in rows if r.doc_id in (2, 3, 4))
     assert all(r.p_good + r.p_toxic + r.p_low == pytest.approx(1) for r in rows)
     assert M.mix(none, labels).count() == 0
+
+
+def test_labels_of_documents_that_are_not_there_count_for_nothing(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, prose(rng, 30) + ("" if i % 3 == 0 else " vile scumword" if i % 3 == 1 else " $$$ %%% !!")) for i in range(90)], "doc_id long, text string")
+    there = [(i, "abc"[i % 3]) for i in range(90) if i % 3 < 2 or i < 12]
+    gone = [(i, "c") for i in range(1000, 1400)]
+    s = M.Settings(most_per_domain=40)
+    fit = lambda rows: M.fit_membership(docs, spark.createDataFrame(rows, "doc_id long, domain string"), ("a", "b", "c"), s)
+    want, got = fit(there), fit(there + gone)
+    assert got.odds == pytest.approx(want.odds) and got.links == pytest.approx(want.links) and (want.odds[2] != 0).any()

@@ -94,7 +94,8 @@ def fit_links(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e
 
 
 def fit_membership(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...], s: Settings = Settings()) -> Membership:
-    """Fits on labelled(doc_id, domain). What comes to the driver is bounded: domains * rows counts, and the evidence of the drawn documents."""
+    """Fits on those of labelled(doc_id, domain) that are in docs. What comes to the driver is bounded: domains * rows counts, and the evidence of the drawn documents."""
+    labelled = materialise(labelled.join(docs.select("doc_id"), "doc_id", "left_semi"), "present")
     sizes = dict(labelled.groupBy("domain").count().collect())
     drawn = None
     for d in domains:
