@@ -23,7 +23,8 @@ SPAN = 7
 
 @dataclass(frozen=True)
 class Limits:
-    """A stretch needs this many matching words, and this score (matches less other words). Items under SPAN words are not looked for.
+    """A stretch needs this many matching words, and this score (matches less other words). Items under
+    least_matches words can't be found, even where a text holds them whole; those a little longer bear few other words or none.
 
     broadcast_seeds: the benchmark's seeds are broadcast up to this count (16 bytes each); beyond, both sides are shuffled.
     """
@@ -72,7 +73,7 @@ def leaks(texts: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) ->
     """(h, items, matches) of the texts that overlap with benchmark(item_id, text): h is xxhash64 of the text, items the sorted item ids.
 
     texts(text). Null and empty texts, and ones under SPAN words, have no seeds and are never in the result; nor are
-    items like that. Ties and repeated items or texts change nothing but that equal items are all listed.
+    items like that, or of under limits.least_matches words. Ties and repeated items or texts change nothing but that equal items are all listed.
     """
     items = benchmark.select("item_id", words(F.col("text")).alias("w"))
     theirs = materialise(seed_rows(items, ["item_id"], "at_item").distinct(), "seeds")
