@@ -55,6 +55,7 @@ def edited(rng, words, n):
 
 def test_near_copies_of_all_sizes(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 8)
+    monkeypatch.setattr(N, "TILE", 3)
     rng = random.Random(7)
     texts = []
     for size in (1, 3, 5, 7, 9, 14, 40, 120, 258, 300, 345, 900):
@@ -69,6 +70,33 @@ def test_near_copies_of_all_sizes(spark, monkeypatch):
     assert 100 < len({c for _, c in want.values()}) < len(texts) - 150
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_ids_with_several_texts(spark, turned):
+    """Every text of an id links it, in whatever order the rows come."""
+    rng = random.Random(9)
+    text = lambda n: [f"q{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c, d = (text(60) for _ in range(4))
+    say = lambda w, *more: " ".join([*w, *more])
+    rows = [(1, say(a)), (1, say(b)), (2, say(a, "z")), (3, say(b, "z")), (9, say(c)), (9, say(d)), (8, say(c, "y")), (5, say(d)), (5, say(d)), (7, say(text(60))), (4, "few words"), (6, "few words"), (6, None)]
+    rows = rows[::-1] if turned else rows
+    got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()]
+    of = {1: 1, 2: 1, 3: 1, 9: 5, 8: 5, 5: 5, 7: 7, 4: 4, 6: 4}
+    assert sorted(got) == sorted((i, len(shingle_set(t)), of[i], of[i] == i) for i, t in rows)
+    one = N.one_of_each(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, `_hash` string, many long"))
+    assert one.columns == ["doc_id", "text", "_hash", "many"] and sorted(r.doc_id for r in one.collect()) == [1, 4, 5, 7]
+
+
+def test_a_bucket_of_many_that_are_not_links(spark, monkeypatch):
+    """Texts that share half of their shingles share buckets, but nothing is joined; a few near copies among them are."""
+    monkeypatch.setattr(N, "BLOCK", 64)
+    rng = random.Random(12)
+    head = [f"h{i}" for i in range(60)]
+    texts = [" ".join(head + [f"t{rng.randrange(10**6)}" for _ in range(45)]) for _ in range(300)]
+    texts += [t + " end" for t in texts[::40]]
+    want = check(spark, list(enumerate(texts)))
+    assert len({c for _, c in want.values()}) == 300
+
+
 def test_table(spark, sf):
     check(spark, [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()])
 
@@ -79,6 +107,9 @@ def test_odd_rows(spark, odd, none):
     assert len(rows) == odd.count()
     got = {r.doc_id: r for r in rows}
     assert got[6].component_id == 1 and not got[6].kept and got[1].n_class == 3 and got[1].n_shingles == 1
+    kept = N.one_of_each(odd)
+    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 5, 7, 8, 9, None, None]))
+    assert N.one_of_each(none).count() == 0
     assert all(got[i].component_id == i and got[i].n_shingles == 0 for i in (2, 3, 4))
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)] * 2
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import Scratch
 
 
 def _done(edges: DataFrame) -> bool:
@@ -16,20 +16,21 @@ def _done(edges: DataFrame) -> bool:
     return not edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tables: Scratch | None = None) -> DataFrame:
     """(node, component) for every node of links(u, v); component is the smallest node that can be reached.
 
     Each step joins the links with the least neighbour of their nodes, so no group is gathered anywhere, and writes
-    its result to the shared folder. The driver sees counts. Self links and nulls are ignored.
+    its result to the shared folder (as tables, "edges"). The driver sees counts. Self links and nulls are ignored; no links give no rows.
     """
+    tables = tables or Scratch(links.sparkSession)
     edges = links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).filter("u <> v")
-    edges = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    edges = tables.keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     while not _done(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = materialise(small.select("e.*").filter("u <> v").distinct(), "links")
+        edges = tables.keep(small.select("e.*").filter("u <> v").distinct(), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
