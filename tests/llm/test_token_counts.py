@@ -68,6 +68,15 @@ def test_odd_rows(spark, odd, none):
     assert all(r.n == r.t for r in sums)
 
 
+def test_bytes_that_are_no_text(spark):
+    bad = b"one \xff\xfe two\n\xc3\n\xed\xa0\x80 three \xc3\xa9"
+    df = spark.createDataFrame([(1, bytearray(bad))], "doc_id long, text binary")
+    got = sorted(T.token_counts(df).collect(), key=lambda r: r.section)
+    want = spark.createDataFrame([(1, bad.decode("utf-8", "replace"))], "doc_id long, text string")
+    assert got == sorted(T.token_counts(want).collect(), key=lambda r: r.section) and len(got) == 3
+    assert got[-1].end == len(bad.decode("utf-8", "replace"))
+
+
 def test_fields(spark):
     df = spark.createDataFrame([(1, "Title words", None, "Body. More"), (2, None, None, None)], "doc_id long, title string, note string, main string")
     text, spans = T.joined_fields({c: F.col(c) for c in ("title", "note", "main")}, " ")

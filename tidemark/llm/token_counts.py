@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import map_texts, quoted, table, whole
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,9 +42,9 @@ def encoder(path: str) -> tuple:
 
 
 def token_spans(body: bytes, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each token in code points. A token that holds a part of a character spans that character."""
+    """Start and end of each token of valid UTF-8 in code points. A token that holds a part of a character spans that character."""
     encoding, size = encoder(path)
-    ids = encoding.encode_to_numpy(body.decode("utf-8", "replace"), disallowed_special=())
+    ids = encoding.encode_to_numpy(body.decode(), disallowed_special=())
     end = np.cumsum(size[ids])
     start = end - size[ids]
     if not body.isascii():
@@ -112,8 +112,11 @@ def token_counts(docs: DataFrame, rule: str = "most", sections: str = "lines", v
     Sections are the lines or sentences of a text, numbered from 0, or where given the spans column: an array of (start, end) in
     code points, sorted and disjoint; characters in no span are section -1, whose start and end are null and which is
     left out if no token falls to it. n_tokens is a double that is whole unless the rule is share, and adds up to
-    doc_tokens over a row of docs. Null and empty texts have one section 0 without tokens, or none where spans are given. Repeated
-    rows give repeated sections; an empty table gives none; other columns are not read.
+    doc_tokens over a row of docs. Null and empty texts have one section 0 without tokens, or none where spans are given. Bytes that
+    are no UTF-8 count as replacement characters, in spans too. Very long texts are encoded whole, one Arrow batch of texts at a
+    time. Repeated rows give repeated sections; an empty table gives none; other columns are not read.
+
+    vocabulary is the path of a file of ranks that every executor has (or gets by --files).
     """
     if rule not in RULES or sections not in SECTIONS:
         raise ValueError(f"rule must be one of {RULES}, sections one of {SECTIONS}")
@@ -123,7 +126,7 @@ def token_counts(docs: DataFrame, rule: str = "most", sections: str = "lines", v
         given = kept["spans"].to_pylist() if spans else None
         out: dict[str, list] = {k: [] for k in ("row", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens")}
         for i, body in enumerate(bodies):
-            body = body or b""
+            body = whole(body)
             s, e = token_spans(body, vocabulary) if body else (np.empty(0, np.int64),) * 2
             if given is None:
                 lo, hi = section_spans(body, sections) if body else (np.zeros(1, np.int64),) * 2
@@ -147,7 +150,7 @@ def token_counts(docs: DataFrame, rule: str = "most", sections: str = "lines", v
         kinds = {"section": pa.int32(), "start": pa.int32(), "end": pa.int32(), "n_tokens": pa.float64(), "n_crossing": pa.int64(), "doc_tokens": pa.int64()}
         return {"doc_id": kept["doc_id"].take(pa.array(cols["row"]))} | {k: pa.array(cols[k], t, mask=none if k in ("start", "end") else None) for k, t in kinds.items()}
 
-    picked = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")] + ([F.col(spans).cast("array<struct<start:int,end:int>>").alias("spans")] if spans else [])
+    picked = [quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text")] + ([quoted(spans).cast("array<struct<start:int,end:int>>").alias("spans")] if spans else [])
     return map_texts(docs.select(*picked), per_batch, schema, ["doc_id"] + (["spans"] if spans else []))
 
 
