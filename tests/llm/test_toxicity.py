@@ -29,6 +29,49 @@ def test_gradients_by_differences():
             assert (up - down) / (2 * e) == pytest.approx(g[k][i], rel=2e-2, abs=3e-5), (k, i)
 
 
+def gru(p, xs, k, order):
+    """One word after another, by the equations of the gated recurrent unit."""
+    h, out = np.zeros(p[f"U{k}"].shape[0]), {}
+    n = len(h)
+    s = lambda v: 1 / (1 + np.exp(-v))
+    for t in order:
+        gx, gh = xs[t] @ p[f"W{k}"] + p[f"b{k}"], h @ p[f"U{k}"]
+        z, r = s(gx[:n] + gh[:n]), s(gx[n : 2 * n] + gh[n : 2 * n])
+        h = z * h + (1 - z) * np.tanh(gx[2 * n :] + r * gh[2 * n :])
+        out[t] = h
+    return [out[t] for t in range(len(xs))]
+
+
+def test_against_a_plain_forward_pass():
+    net = T.Network(T.Settings(width=3, hidden=4, window=5, stride=2))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    words = [b"mud", b"(sot!)", b"g", b"mud", b"\xc3\xa9t\xc3\xa9"]
+    xs = []
+    for w in words:
+        w = w.strip(T.STRIP) or w
+        raw = np.frombuffer(b"^" + w + b"$", np.uint8).astype(np.uint32)
+        rows = []
+        for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+            key = (int(a) * 961748927 + int(b) * 73856093 + int(c) * 19349663) % 2**32
+            rows.append((key ^ (key >> 15)) % T.CHAR_ROWS)
+        xs.append(np.concatenate([p["E"][zlib.crc32(w) % T.WORD_ROWS], np.mean([p["C"][r] for r in rows], axis=0)]))
+    n = len(words)
+    states = [np.concatenate(x) for x in zip(gru(p, xs, "f", range(n)), gru(p, xs, "b", range(n - 1, -1, -1)), strict=True)]
+    e = np.array([np.tanh(x @ p["A"] + p["a"]) @ p["v"] for x in states])
+    alpha = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+    logit = sum(a * x for a, x in zip(alpha, states, strict=True)) @ p["w"] + p["c"][0]
+    assert T.Scorer(net).documents([words])[0][0] == pytest.approx(logit, abs=1e-4)
+
+
+def test_capitals_of_any_script():
+    assert T.words_of("ÉTÉ Über STRASSE".encode()) == ["été".encode(), "über".encode(), b"strasse"] and T.words_of(b"A \xff") == [b"a", "\ufffd".encode()]
+
+
+def test_the_draw_is_bounded_by_all_characters():
+    rows = [(1, 3, "c", 5), (1, 1, "a", 50), (1, 2, "b", 4), (0, 1, "d", 3), (0, 2, "e", 3), (0, 3, "f", 6), (0, 4, "g", 1)]
+    assert T.within(rows, 10) == ["d", "e", "a"] and T.within(rows, 1000) == ["d", "e", "f", "g", "a", "b", "c"]
+
+
 def test_windows_cover_every_word():
     net = T.Network(SMALL)
     for n in (1, 5, 6, 7, 10, 11, 100):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import Scratch, drawn_by_hash, map_texts, one_text, table
 
 WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 12
 STRIP = b".,;:!?\"'()[]{}|*%$#&<>-_"
@@ -29,17 +29,18 @@ FOLDS = 5
 class Settings:
     """width, hidden: of word and character vectors, of each direction. window, stride: in words.
 
-    most_toxic, most_other: training documents of each label at most, drawn by hash of their ids; most_chars: longer ones
-    are not drawn. Scoring has no such bounds.
+    most_toxic, most_other: training documents of each label at most, drawn by hash of their ids; most_chars: characters of
+    all of a label's training documents together, which come to the driver whole: the draw ends with the document that would pass them (the first
+    is always taken), so long documents are drawn like others. Scoring has no such bounds.
     """
 
     width: int = 8
     hidden: int = 8
     window: int = 24
-    stride: int = 16
+    stride: int = 12
     most_toxic: int = 1200
     most_other: int = 2000
-    most_chars: int = 20_000
+    most_chars: int = 40_000_000
     epochs: int = 14
     guided: int = 4
     batch: int = 64
@@ -48,8 +49,9 @@ class Settings:
 
 
 def words_of(body: bytes | None) -> list[bytes]:
-    """Lower-cased words, with what punctuation they have."""
-    return (body or b"").lower().split()
+    """Lower-cased words (of any script), with what punctuation they have."""
+    body = body or b""
+    return (body.lower() if body.isascii() else body.decode("utf-8", "replace").lower().encode()).split()
 
 
 def bare(words: list[bytes]) -> list[bytes]:
@@ -318,13 +320,32 @@ def fold(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def within(rows: list[tuple], most: int) -> list:
+    """Of (group, order, id, size) the ids whose sizes, in order, add up to most at most in their group; the first of a group in any case."""
+    out, total = [], Counter()
+    over = set()
+    for group, _, i, size in sorted(rows):
+        if group not in over and (not total[group] or total[group] + size <= most):
+            out.append(i)
+            total[group] += max(1, size)
+        else:
+            over.add(group)
+    return out
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, s: Settings) -> list[tuple[bytes, int]]:
-    """Texts and labels of the training folds: at most most_toxic and most_other of them, by hash of the id."""
-    known = labels.filter((fold(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    draw = lambda t, n: known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    drawn = F.broadcast(draw(1, s.most_toxic).unionByName(draw(0, s.most_other)))  # most_toxic + most_other rows at most
-    short = docs.select("doc_id", "text").filter(F.length("text") <= s.most_chars)
-    rows = short.join(drawn, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", F.col("text").cast("binary").alias("body")).collect()
+    """Texts and labels of the training folds, in the bounds of s.
+
+    Of labels that disagree the toxic one counts; of several texts of an id, the one with the least hash.
+    """
+    tables = Scratch(docs.sparkSession)
+    known = labels.filter((fold(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    drawn = drawn_by_hash(known, "toxic", {1: s.most_toxic, 0: s.most_other})  # so many rows at most
+    texts = one_text(docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_semi"))
+    texts = tables.keep(texts.filter("text is not null").join(F.broadcast(drawn), "doc_id"), "labelled")
+    sizes = texts.select("toxic", F.xxhash64("doc_id").alias("order"), "doc_id", F.length("text")).collect()
+    rows = texts.filter(F.col("doc_id").isin(within([tuple(r) for r in sizes], s.most_chars))).select("doc_id", "toxic", F.col("text").cast("binary").alias("body")).collect()
+    tables.drop()
     return [(bytes(r["body"]), r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
@@ -333,7 +354,7 @@ def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
 
     Null and empty texts have one empty window, whose score is the network's bias. A
     null doc_id is not held out. Repeated rows give repeated rows; an empty table gives none; other columns are not
-    read. All windows of a text are scored.
+    read. All windows of a text are scored, however long it is; of equal windows it doesn't matter which is the highest.
     """
     scorer = Scorer(net)
 
