@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import apart, drawn_by_hash, map_texts, one_text, quoted, table
 
 ROWS = 1 << 12
 GRADES = 3
@@ -26,13 +26,12 @@ GRADES = 3
 
 @dataclass(frozen=True)
 class Settings:
-    """most_per_grade: training documents of a grade at most, drawn by hash of their ids among those of most_chars at most.
+    """most_per_grade: training documents of a grade at most, drawn by hash of their ids; the driver gets up to ROWS features of each, whatever its length.
 
     Their likelihoods are weighted by the share of the grade among all labels, so the sample's balance doesn't show.
     """
 
     most_per_grade: int = 1200
-    most_chars: int = 20_000
     ridge: float = 1e-3
     steps: int = 250
     rate: float = 0.02
@@ -65,7 +64,7 @@ def features(body: bytes) -> np.ndarray:
     x = np.zeros(ROWS, np.float32)
     if len(body) >= 3:
         x += np.bincount(trigrams(body), minlength=ROWS) / (len(body) - 2)
-    x[marks(body)] += 1
+    np.add.at(x, marks(body), 1)  # two marks can have the same row
     return x
 
 
@@ -124,39 +123,67 @@ def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings(
     return Ordinal((w / spread).astype(np.float32), cut + float(w @ (mean / spread)))
 
 
+def feature_rows(texts: DataFrame) -> DataFrame:
+    """(doc_id, at, value) of texts(doc_id, text): the features that are not 0, as packed numbers."""
+
+    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
+        at, value = [], []
+        for b in bodies:
+            x = features(b or b"")
+            rows = np.flatnonzero(x)
+            at.append(rows.astype("<u2").tobytes())
+            value.append(x[rows].astype("<f4").tobytes())
+        return kept | {"at": pa.array(at, pa.binary()), "value": pa.array(value, pa.binary())}
+
+    return map_texts(texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), per_batch, "doc_id long, at binary, value binary", ["doc_id"])
+
+
 def train(docs: DataFrame, graded: DataFrame, grades: int = GRADES, s: Settings = Settings()) -> Ordinal:
-    """Fits on docs(doc_id, text) with graded(doc_id, grade); grades out of 0 .. grades - 1 and nulls are ignored."""
-    known = graded.filter(F.col("grade").between(0, grades - 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("grade").cast("int").alias("grade")).dropDuplicates(["doc_id"])
+    """Fits on docs(doc_id, text) with graded(doc_id, grade); grades out of 0 .. grades - 1 and nulls are ignored.
+
+    Of grades that disagree the lowest counts; of several texts of an id, the one with the least hash. Features are made where the texts are.
+    """
+    known = graded.filter(F.col("grade").between(0, grades - 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("grade").cast("int")).alias("grade"))
     counts = dict(known.groupBy("grade").count().collect())  # a row for each grade
     share = np.array([counts.get(g, 0) for g in range(grades)], float) / max(1, sum(counts.values()))
-    drawn = None
-    for g in range(grades):
-        part = known.filter(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.most_per_grade)
-        drawn = part if drawn is None else drawn.unionByName(part)
-    short = docs.select("doc_id", "text").filter(F.length("text") <= s.most_chars)
-    rows = short.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])  # grades * most_per_grade rows at most
-    rows = sorted(rows.select("doc_id", "grade", F.col("text").cast("binary").alias("body")).collect())
-    x = np.array([features(bytes(r["body"])) for r in rows]) if rows else np.zeros((0, ROWS), np.float32)
+    drawn = drawn_by_hash(known, "grade", dict.fromkeys(range(grades), s.most_per_grade))  # grades * most_per_grade rows at most
+    texts = one_text(docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_semi"))
+    rows = sorted(feature_rows(texts).join(F.broadcast(drawn), "doc_id").select("doc_id", "grade", "at", "value").collect())
+    x = np.zeros((len(rows), ROWS), np.float32)
+    for i, r in enumerate(rows):
+        x[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["value"], "<f4")
     return fit(x, np.array([r["grade"] for r in rows], np.int64), share, s)
 
 
+def _scored(docs: DataFrame, model: Ordinal, keep: list[str]) -> DataFrame:
+    """The columns in keep as k0, k1, ..., then the tails as t1, t2, ... of each row."""
+    kinds = docs.select(*map(quoted, keep)).dtypes
+    tails = [f"t{k + 1}" for k in range(len(model.thresholds))]
+
+    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
+        p = model.tails(np.array([model.score(b or b"") for b in bodies]))
+        return {f"k{i}": kept[c] for i, c in enumerate(keep)} | {t: pa.array(p[:, k]) for k, t in enumerate(tails)}
+
+    schema = ", ".join([f"k{i} {kind}" for i, (_, kind) in enumerate(kinds)] + [f"{t} double" for t in tails])
+    return map_texts(docs, per_batch, schema, keep)
+
+
 def score_quality(docs: DataFrame, model: Ordinal, keep: list[str] | None = None) -> DataFrame:
-    """Scores every whole text: the columns in keep (doc_id), expected_grade and p_ge_1, p_ge_2, ...
+    """Scores every whole text, however long: the columns in keep (doc_id), expected_grade and p_ge_1, p_ge_2, ...
 
-    keep must not hold those names. Null and empty texts are scored by the marks of an empty text. Repeated rows give
-    repeated rows, an empty table gives none.
+    A kept column that has the name of a result gets an underscore. Null and empty texts are scored by the marks of an empty text;
+    a null id stays null; equal texts have equal scores. Repeated rows give repeated rows, an empty table gives none.
     """
-    keep = keep or ["doc_id"]
-    tails = [f"p_ge_{k + 1}" for k in range(len(model.thresholds))]
+    keep, n = keep or ["doc_id"], len(model.thresholds)
+    results = ["expected_grade", *(f"p_ge_{k + 1}" for k in range(n))]
+    out = _scored(docs, model, keep)
+    columns = [F.col(f"k{i}").alias(c) for i, c in enumerate(apart(keep, results))]
+    return out.select(*columns, sum(F.col(f"t{k + 1}") for k in range(n)).alias("expected_grade"), *[F.col(f"t{k + 1}").alias(f"p_ge_{k + 1}") for k in range(n)])
 
-    def per_batch(kept: dict, bodies: list[bytes | None]) -> dict:
-        p = model.tails(np.array([model.score(b or b"") for b in bodies]))
-        return {f"k{i}": kept[c] for i, c in enumerate(keep)} | {"expected_grade": pa.array(p.sum(1))} | {t: pa.array(p[:, k]) for k, t in enumerate(tails)}
 
-    kinds = dict(docs.select(*[F.col(c) for c in keep]).dtypes)
-    schema = ", ".join([f"k{i} {kinds[c]}" for i, c in enumerate(keep)] + ["expected_grade double"] + [f"{t} double" for t in tails])
-    out = map_texts(docs, per_batch, schema, keep)
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "expected_grade", *tails)
+def of_quality(docs: DataFrame, model: Ordinal, least_tail: float = 0.5) -> DataFrame:
+    """The rows of docs, with their columns as they are, whose probability of a grade over the lowest is least_tail or more."""
+    return _scored(docs, model, docs.columns).filter(F.col("t1") >= least_tail).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def graded(labels: DataFrame) -> DataFrame:
