@@ -10,13 +10,14 @@ def words(text):
     return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
 
 
-def plain(text, item):
-    """Best stretch over all ways to lay the item along the text without gaps, where a seed matches."""
+def plain(text, item, seeded=True):
+    """Best stretch over all ways to lay the item along the text without gaps (seeded: where a seed matches, or an item shorter than the masks as a whole)."""
     d, w, best = words(text), words(item), (0, 0)
+    masks = D.MASKS if len(w) >= D.SHORTEST else (range(len(w)),)
     for shift in range(-len(w) + 1, len(d)):
         same = [0 <= i + shift < len(d) and d[i + shift] == w[i] for i in range(len(w))]
         lo, hi = max(0, -shift), min(len(w), len(d) - shift)
-        if not any(all(same[i + p] for p in m) for m in D.MASKS for i in range(lo, min(hi, len(w)) - D.SPAN + 1)):
+        if seeded and not any(all(same[i + p] for p in m) for m in masks for i in range(lo, min(hi, len(w)) - m[-1])):
             continue
         run = hits = 0
         for i in range(lo, hi):
@@ -31,7 +32,7 @@ def plain(text, item):
 def corpus():
     rng = random.Random(11)
     w = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
-    items = [w(rng.choice((5, 7, 15, 30))) for _ in range(20)]
+    items = [w(rng.choice((1, 3, 5, 7, 9, 15, 30))) for _ in range(20)]
     docs = []
     for i in range(160):
         text, kind = w(rng.randint(0, 80)), i % 5
@@ -57,8 +58,8 @@ def test_by_brute_force(spark, corpus, broadcast):
     for i, text in docs:
         hit = []
         for k, item in items:
-            score, matches = plain(text, item)
-            if score >= 5 and matches >= 8:
+            (score, matches), n = plain(text, item), len(words(item))
+            if score >= min(5, n) and matches >= min(8, n):
                 hit.append(k)
         if hit:
             want[i] = hit
@@ -75,11 +76,38 @@ def test_substitutions_are_tolerated(spark):
     assert {r.doc_id for r in D.contaminated(df, bench, loose).collect()} == {0, 1, 2, 4}
 
 
+def test_short_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "say Alpha, beta gamma!"), (2, "alpha x gamma"), (3, "the word here"), (4, "one two three four five six seven eight nine"), (5, "one two three four five SIX seven x nine"), (6, "abc 日本語です xyz")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "alpha beta gamma"), (2, "word"), (3, "one two three four five six seven eight nine"), (4, "日本語です"), (None, "alpha beta gamma")], "item_id long, text string")
+    found = lambda limits: {r.doc_id: r["items"] for r in D.contaminated(docs, bench, limits).collect()}
+    assert found(D.Limits()) == {1: [1], 3: [2], 4: [3], 6: [4]}
+    assert found(D.Limits(least_item=5)) == {4: [3], 6: [4]}
+
+
+def test_share_of_overlaps_that_have_a_seed():
+    """Stretches at the limits (10 matches, score 8) and a little longer, their substitutions at random: 0.95 at least are found."""
+    rng = random.Random(5)
+    found = total = 0
+    for _ in range(3000):
+        n, bad = rng.choice(((10, 0), (11, 1), (12, 2), (13, 2), (14, 3), (16, 4), (18, 4), (24, 6), (30, 8)))
+        item = [f"i{i}" for i in range(n)]
+        text = list(item)
+        for i in rng.sample(range(1, n - 1), bad):
+            text[i] = "x"
+        score, matches = plain(" ".join(text), " ".join(item), seeded=False)
+        if score >= 8 and matches >= 10:
+            total += 1
+            found += plain(" ".join(text), " ".join(item)) >= (8, 10)
+    assert total > 1000 and found / total > 0.95
+
+
 def test_odd_rows(spark, odd, none):
     long = " ".join(odd.filter("doc_id = 5").first().text.split()[5000:5030])
     bench = spark.createDataFrame([(9, long), (9, long), (8, long)], "item_id long, text string")
     got = D.contaminated(odd, bench).collect()
     assert [(r.doc_id, r["items"], r.matches) for r in got] == [(5, [8, 9], 30)]
+    clash = odd.withColumnsRenamed({"k0": "_h", "seed": "_g", "rows": "g"})
+    assert D.decontaminated(clash, bench).columns == clash.columns
     kept = D.decontaminated(odd, bench)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
     assert D.contaminated(none, bench).count() == 0 and D.decontaminated(odd, bench.limit(0)).count() == odd.count()
