@@ -3,7 +3,11 @@
 A classifier fitted on the labelled table predicts for every document the posterior of each domain; a document's
 tokens count for the domains in these parts. Rates (how often to take a document; 1 as it is) are fitted by projected
 gradient on least squares: the expected tokens of the domains, sum of rate * tokens * posterior, are to match the
-targets, with rates not negative. A step needs one sum over the documents for each domain, and that is all the driver sees.
+targets, with rates not negative.
+
+A step moves all documents of the same posteriors alike. So the steps are fitted on the sums of the documents whose posteriors are the same but for
+1 / GRID (one pass over the documents, then sums over as many rows as there are such cells), and the documents
+then take the same steps with their own posteriors. The sums that their rates give are counted, and returned beside them.
 """
 
 from __future__ import annotations
@@ -14,9 +18,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import Scratch, apart, drawn_by_hash, one_text, quoted, table
 
 EVIDENCE = 30.0
+#: Cells between 0 and 1 of a posterior. The cells of three domains are 33153 at most.
+GRID = 256
 #: Domains of the labels table, and the parts of the tokens that they are to have.
 TARGETS = {"good": 0.93, "toxic": 0.03, "low": 0.04}
 
@@ -26,13 +32,13 @@ class Settings:
     """rows: hashed words. most_per_domain: training documents of a domain at most, by hash of their ids. least_z: see word_odds.
 
     steps, tolerance: of the descent; it ends when no domain is further from its target than this part of all tokens. refresh: steps after
-    which the rates are written out, so that the plan stays short.
+    which the rates of the cells are written out, so that the plan stays short.
     """
 
     rows: int = 1 << 16
     most_per_domain: int = 1500
     least_z: float = 4.0
-    steps: int = 60
+    steps: int = 200
     tolerance: float = 1e-4
     refresh: int = 8
 
@@ -47,9 +53,11 @@ def rows_of(text: Column, rows: int) -> Column:
 
 
 def domain_of(labels: DataFrame) -> DataFrame:
-    """(doc_id, domain): low for low quality, else toxic or good."""
+    """(doc_id, domain): low for low quality, else toxic or good. Of labels that disagree the first of low, toxic, good counts."""
     domain = F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when((F.col("quality") == 1) & (F.col("toxic") == 0), "good")
-    return labels.select("doc_id", domain.alias("domain")).filter("doc_id is not null and domain is not null").dropDuplicates(["doc_id"])
+    rank = F.array_position(F.array(*map(F.lit, ("low", "toxic", "good"))), domain)
+    known = labels.select("doc_id", domain.alias("domain"), rank.alias("rank")).filter("doc_id is not null and domain is not null")
+    return known.groupBy("doc_id").agg(F.min_by("domain", "rank").alias("domain"))
 
 
 @dataclass(frozen=True)
@@ -94,15 +102,16 @@ def fit_links(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e
 
 
 def fit_membership(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...], s: Settings = Settings()) -> Membership:
-    """Fits on those of labelled(doc_id, domain) that are in docs. What comes to the driver is bounded: domains * rows counts, and the evidence of the drawn documents."""
-    labelled = materialise(labelled.join(docs.select("doc_id"), "doc_id", "left_semi"), "present")
+    """Fits on those of labelled(doc_id, domain) that are in docs; of several texts of an id, on the one with the least hash.
+
+    What comes to the driver is bounded: domains * rows counts, and the evidence of the drawn documents.
+    """
+    tables = Scratch(docs.sparkSession)
+    labelled = tables.keep(labelled.join(docs.select("doc_id"), "doc_id", "left_semi"), "present")
     sizes = dict(labelled.groupBy("domain").count().collect())
-    drawn = None
-    for d in domains:
-        part = labelled.filter(F.col("domain") == d).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.most_per_domain)
-        drawn = part if drawn is None else drawn.unionByName(part)
-    known = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])  # domains * most_per_domain rows at most
-    known = materialise(known.select("doc_id", "domain", F.array_distinct(rows_of(F.col("text"), s.rows)).alias("rows")), "labelled")
+    drawn = drawn_by_hash(labelled, "domain", dict.fromkeys(domains, s.most_per_domain))  # domains * most_per_domain rows at most
+    known = one_text(docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(drawn), "doc_id")
+    known = tables.keep(known.select("doc_id", "domain", F.array_distinct(rows_of(F.col("text"), s.rows)).alias("rows")), "labelled")
     seen = np.zeros((len(domains), s.rows))
     for r in known.select("domain", F.explode("rows").alias("row")).groupBy("domain", "row").count().collect():
         seen[domains.index(r["domain"]), r["row"]] = r["count"]
@@ -110,6 +119,7 @@ def fit_membership(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...
     rows = known.select("doc_id", "domain", *evidence(odds)).collect()
     x = np.array([r[2:] for r in sorted(rows)], float).reshape(-1, len(domains) - 1)
     y = np.array([domains.index(r["domain"]) for r in sorted(rows)], np.int64)
+    tables.drop()
     share = np.array([sizes.get(d, 0) for d in domains], float) / max(1, sum(sizes.get(d, 0) for d in domains))
     if not share.any():
         share[:] = 1 / len(domains)
@@ -131,39 +141,71 @@ def evidence(odds: np.ndarray, rows: str = "rows") -> list[Column]:
     return out
 
 
-def posteriors(docs: DataFrame, model: Membership, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(keep, n_tokens, p_<domain>...) for each row of docs. A text without tokens has no evidence."""
-    domains, n = model.domains, len(model.domains)
-    df = docs.select(*keep, rows_of(F.col("text"), model.odds.shape[1]).alias("rows"))
-    df = df.select(*keep, F.size("rows").cast("long").alias("n_tokens"), F.array_distinct("rows").alias("rows"))
-    df = df.select(*keep, "n_tokens", *evidence(model.odds))
+def _members(docs: DataFrame, model: Membership, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """The columns in keep as k0, k1, ..., then n (tokens) and the posteriors as p0, p1, ... A text without tokens has no evidence."""
+    kept, n = [f"k{i}" for i in range(len(keep))], len(model.domains)
+    df = docs.select(*[quoted(c).alias(k) for k, c in zip(kept, keep, strict=True)], rows_of(quoted(text), model.odds.shape[1]).alias("rows"))
+    df = df.select(*kept, F.size("rows").cast("long").alias("n"), F.array_distinct("rows").alias("rows"))
+    df = df.select(*kept, "n", *evidence(model.odds))
     for i, w in enumerate(model.links.tolist()):
         df = df.withColumn(f"l{i}", sum((F.col(f"x{k}") * c for k, c in enumerate(w[1:], 1)), F.lit(w[0])))
     top = F.greatest(*[F.col(f"l{i}") for i in range(n)]) if n > 1 else F.col("l0")
-    df = df.select(*keep, "n_tokens", *[F.exp(F.col(f"l{i}") - top).alias(f"e{i}") for i in range(n)])
+    df = df.select(*kept, "n", *[F.exp(F.col(f"l{i}") - top).alias(f"e{i}") for i in range(n)])
     total = sum((F.col(f"e{i}") for i in range(1, n)), F.col("e0"))
-    return df.select(*keep, "n_tokens", *[(F.col(f"e{i}") / total).alias(f"p_{d}") for i, d in enumerate(domains)])
+    return df.select(*kept, "n", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in range(n)])
+
+
+def posteriors(docs: DataFrame, model: Membership, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keep, n_tokens, p_<domain>...) for each row of docs."""
+    names = [f"p_{d}" for d in model.domains]
+    df = _members(docs, model, keep)
+    columns = [F.col(f"k{i}").alias(c) for i, c in enumerate(apart(keep, ["n_tokens", *names]))]
+    return df.select(*columns, F.col("n").alias("n_tokens"), *[F.col(f"p{i}").alias(c) for i, c in enumerate(names)])
+
 
+def cells(members: DataFrame, domains: int) -> DataFrame:
+    """The sums of tokens (n) and of tokens * posterior (t0, t1, ...) of members(n, p0, p1, ...) whose posteriors lie in the same cell."""
+    at = [F.round(F.col(f"p{i}") * GRID).cast("int").alias(f"c{i}") for i in range(domains - 1)]
+    sums = [F.sum(F.col("n") * F.col(f"p{i}")).alias(f"t{i}") for i in range(domains)]
+    return members.filter("n > 0").groupBy(*at).agg(F.sum("n").alias("n"), *sums).drop(*[f"c{i}" for i in range(domains - 1)])
 
-def fit_rates(members: DataFrame, targets: dict[str, float], s: Settings = Settings()) -> tuple[DataFrame, dict[str, float]]:
-    """Adds rate to members(n_tokens, p_<domain>...), and returns the shares of the domains that the rates give.
 
-    The steps are gradient steps of 1/2 |shares - targets|^2 in the metric of tokens, so a document's step doesn't depend on its length; their
-    length is Barzilai and Borwein's. The total of tokens stays that of members. No tokens at all: rates are 1.
+def rate_after(moves: list[list[float]], p: list[Column]) -> Column:
+    """The rate after the steps, each a row of moves with a number for each domain, of a document with the posteriors p."""
+    if not moves:
+        return F.lit(1.0)
+    n = len(p)
+    flat = F.split(F.lit(" ".join(repr(x) for m in moves for x in m)), " ").cast("array<double>")  # folds to one literal
+    move = lambda i: sum((F.get(flat, i * n + k) * c for k, c in enumerate(p)), F.lit(0.0))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(moves) - 1)), F.lit(1.0), lambda r, i: F.greatest(F.lit(0.0), r - move(i)))
+
+
+@dataclass(frozen=True)
+class Rates:
+    """moves: the steps of the descent. shares: what they give on the cells. met: whether that is within the tolerance."""
+
+    moves: list[list[float]]
+    shares: list[float]
+    met: bool
+
+
+def fit_rates(cells: DataFrame, goal: list[float], s: Settings = Settings()) -> Rates:
+    """Descends on cells(n, t0, t1, ...): gradient steps of 1/2 |shares - goal|^2 in the metric of tokens, so that a document's step doesn't depend on its length.
+
+    Their length is Barzilai and Borwein's. The total of tokens stays that of the documents. No tokens at all: rates are 1.
     """
-    names, goal = list(targets), np.array([targets[d] for d in targets])
-    members = materialise(members, "members")
-    total = members.agg(F.sum("n_tokens")).first()[0] or 0
-    state = members.withColumn("rate", F.lit(1.0))
+    tables, n = Scratch(cells.sparkSession), len(goal)
+    state = tables.keep(cells.withColumn("rate", F.lit(1.0)), "cells")
+    total, goal = state.agg(F.sum("n")).first()[0] or 0, np.array(goal)
     if not total:
-        return state, dict.fromkeys(names, 0.0)
+        return Rates([], [0.0] * n, False)
+    p = [F.col(f"t{i}") / F.col("n") for i in range(n)]
 
     def shares(df: DataFrame) -> np.ndarray:
-        row = df.agg(*[F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) for d in names]).first()
+        row = df.agg(*[F.sum(F.col("rate") * F.col(f"t{i}")) for i in range(n)]).first()
         return np.array([x / total for x in row])
 
-    now = shares(state)
-    step, before = 1.0, None
+    now, step, before, moves = shares(state), 1.0, None, []
     for i in range(1, s.steps + 1):
         off = now - goal
         if np.abs(off).max() <= s.tolerance:
@@ -172,24 +214,39 @@ def fit_rates(members: DataFrame, targets: dict[str, float], s: Settings = Setti
             change, moved = off - before, step * before
             if abs(change @ before) > 1e-15:
                 step = float(min(1e4, max(0.5, -(moved @ before) / (change @ before))))
-        move = sum((F.lit(float(step * o)) * F.col(f"p_{d}") for d, o in zip(names, off, strict=True)), F.lit(0.0))
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))
+        moves.append([float(step * o) for o in off])
+        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - sum((c * m for c, m in zip(p, moves[-1], strict=True)), F.lit(0.0))))
         if i % s.refresh == 0:
-            state = materialise(state, "rates")
+            state = tables.keep(state, "cells")
         now, before = shares(state), off
-    return state, dict(zip(names, now.tolist(), strict=True))
+    tables.drop()
+    return Rates(moves, now.tolist(), bool(np.abs(now - goal).max() <= s.tolerance))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, s: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(keep, n_tokens, p_<domain>..., rate) for each row of docs(doc_id, text); labels(doc_id, quality, toxic).
+    """(keep, n_tokens, p_<domain>..., rate, reached_<domain>..., met) for each row of docs(doc_id, text); labels(doc_id, quality, toxic).
+
+    Targets are parts of all tokens of docs and add up to 1; reached_<domain> is the part of them that the rates of all documents give
+    a domain, and met says that no domain is off by more than twice the tolerance. Targets that no rates can meet end at the least squares found.
 
-    Targets are parts of all tokens of docs and add up to 1. Null and empty texts have no tokens and the prior's
-    posteriors. Null ids have no label and are rated as others. Repeated rows are rated each; an empty table gives no
-    rows. Other columns than those in keep, which must not have the names of the result, are not read.
+    Null and empty texts have no tokens and the prior's posteriors. Very long texts count with all their tokens, as one row. Null ids
+    have no label and are rated as others; equal texts have equal rates. Repeated rows are rated each; an empty table gives no rows. Other columns
+    than those in keep are not read; a kept column that has the name of a result gets an underscore.
     """
     targets = targets or TARGETS
-    model = fit_membership(docs, domain_of(labels), tuple(targets), s)
-    return fit_rates(posteriors(docs, model, keep), targets, s)[0]
+    domains, tables = tuple(targets), Scratch(docs.sparkSession)
+    model = fit_membership(docs, domain_of(labels), domains, s)
+    members = tables.keep(_members(docs, model, keep), "members")
+    rates = fit_rates(cells(members, len(domains)), [targets[d] for d in domains], s)
+    p = [F.col(f"p{i}") for i in range(len(domains))]
+    rated = members.withColumn("rate", rate_after(rates.moves, p))
+    sums = rated.agg(F.sum("n").alias("n"), *[F.sum(F.col("rate") * F.col("n") * c).alias(f"p{i}") for i, c in enumerate(p)]).first()
+    reached = [(sums[f"p{i}"] or 0.0) / (sums["n"] or 1) for i in range(len(domains))]
+    met = bool(sums["n"]) and all(abs(x - targets[d]) <= 2 * s.tolerance for x, d in zip(reached, domains, strict=True))
+    names = ["n_tokens", *(f"p_{d}" for d in domains), "rate", *(f"reached_{d}" for d in domains), "met"]
+    columns = [F.col(f"k{i}").alias(c) for i, c in enumerate(apart(keep, names))]
+    results = ["n", *p, "rate", *map(F.lit, reached), F.lit(met)]
+    return rated.select(*columns, *[(F.col(x) if isinstance(x, str) else x).alias(c) for x, c in zip(results, names, strict=True)])
 
 
 def op6_soft_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
