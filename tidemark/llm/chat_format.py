@@ -5,7 +5,7 @@ every part into text or a placeholder, notes the attachments in order and the to
 expanded to, and the turns of a conversation are joined under a template with a loss mask over the assistant's texts.
 
 Texts are escaped so that no control string can appear in them, ours or another template's: the escape sign, < and [
-become two-letter sequences, and the control strings all start with < or [.
+become two-letter sequences, and the control strings all start with < or [. A placeholder is a control string, so it can't be taken for text.
 """
 
 from __future__ import annotations
@@ -68,36 +68,48 @@ def visit_tokens(p: Column) -> Column:
 def format_chat(messages: DataFrame) -> DataFrame:
     """messages(conv_id, turn, role, parts) to one row for each conversation: formatted, loss_spans, attachments, media_tokens.
 
-    loss_spans are [start, end) in code points of formatted. Turns go by turn, nulls first; equal ones by role, then
-    by text; repeated rows are repeated turns. A null role is empty. Parts null or empty give an empty text. A null
-    conv_id is a conversation like others. Only one conversation's turns meet in a task. No rows for an empty table.
+    loss_spans are [start, end) in code points of formatted, one for each text part of the assistant's; placeholders are under no span. Turns go by turn,
+    nulls first; equal ones by role, then by parts; repeated rows are repeated turns. A null role is empty. Parts null or
+    empty give an empty text. Rows without a conv_id belong to no other row: each is a conversation of one turn. Very long texts
+    are taken whole. Only one conversation's turns meet in a task. No rows for an empty table; other columns are not read.
     """
     parts = F.coalesce("parts", F.array().cast(PART))
-    body = F.array_join(F.transform(parts, visit_text), "")
-    held = F.filter(parts, lambda p: F.coalesce(p["type"].isin(*PLACEHOLDERS), F.lit(False)))
-    media = F.transform(held, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), visit_tokens(p).alias("tokens")))
-    fields = [F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), body.alias("body"), media.alias("media")]
-    turns = messages.select("conv_id", F.struct(*fields).alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    piece = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY), t["body"], F.lit(END))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def step(acc: Column, t: Column) -> Column:
+    said = lambda p: ~F.coalesce(p["type"].isin(*PLACEHOLDERS), F.lit(False))
+    pieces = F.transform(parts, lambda p: F.struct(visit_text(p).alias("s"), said(p).alias("said")))
+    media = F.transform(F.filter(parts, lambda p: ~said(p)), lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), visit_tokens(p).alias("tokens")))
+    fields = [F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), pieces.alias("pieces"), media.alias("media")]
+    rows = messages.select("conv_id", F.struct(*fields).alias("t"))
+    turns = rows.filter("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    turns = turns.unionByName(rows.filter("conv_id is null").select("conv_id", F.array("t").alias("turns")))
+    body = lambda t: F.array_join(F.transform(t["pieces"], lambda p: p["s"]), "")
+    written = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY), body(t), F.lit(END))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def of_piece(acc: Column, p: Column) -> Column:
+        end = acc["at"] + F.length(p["s"])
+        mine = F.when(p["said"], F.array(F.struct(acc["at"].alias("start"), end.alias("end")))).otherwise(none)
+        return F.struct(end.alias("at"), F.concat(acc["spans"], mine).alias("spans"))
+
+    def of_turn(acc: Column, t: Column) -> Column:
         begin = acc["at"] + len(TURN) + F.length(escape(t["role"])) + len(BODY)
-        end = begin + F.length(t["body"])
-        mine = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct((end + len(END)).alias("at"), F.when(t["role"] == "assistant", F.concat(acc["spans"], mine)).otherwise(acc["spans"]).alias("spans"))
+        mine = F.aggregate(t["pieces"], F.struct(begin.alias("at"), none.alias("spans")), of_piece)
+        spans = F.when(t["role"] == "assistant", F.concat(acc["spans"], mine["spans"])).otherwise(acc["spans"])
+        return F.struct((mine["at"] + len(END)).alias("at"), spans.alias("spans"))
 
-    out = turns.select("conv_id", F.array_join(F.transform("turns", piece), "").alias("formatted"), F.aggregate("turns", start, step)["spans"].alias("loss_spans"), "turns")
+    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    out = turns.select("conv_id", F.array_join(F.transform("turns", written), "").alias("formatted"), F.aggregate("turns", start, of_turn)["spans"].alias("loss_spans"), "turns")
     listed = F.flatten(F.transform("turns", lambda t, i: F.transform(t["media"], lambda m: F.struct(i.alias("turn_index"), m["type"].alias("type"), m["ref"].alias("ref"), m["tokens"].alias("tokens")))))
     out = out.withColumn("attachments", listed).drop("turns")
     return out.withColumn("media_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, m: a + m["tokens"]))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Adds turns(role, text) and loss_text, read from formatted and loss_spans alone."""
+    """Adds turns(role, text, media) and loss_text, read from formatted and loss_spans alone; media are the types of a turn's placeholders in order."""
+    any_of = "|".join(PLACEHOLDERS.values())
     pieces = F.filter(F.split("formatted", F.lit(END)), lambda x: x != "")
     fields = lambda x: F.split(F.replace(x, F.lit(TURN), F.lit("")), r"\[TEXT\]")
-    turn = lambda f: F.struct(unescape(f[0]).alias("role"), unescape(f[1]).alias("text"))
+    media = lambda x: F.regexp_extract_all(x, F.lit(f"<({'|'.join(PLACEHOLDERS)})>"), F.lit(1))
+    turn = lambda f: F.struct(unescape(f[0]).alias("role"), unescape(F.regexp_replace(f[1], any_of, "")).alias("text"), media(f[1]).alias("media"))
     under = lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))
     return formatted.withColumns({"turns": F.transform(F.transform(pieces, fields), turn), "loss_text": F.array_join(F.transform("loss_spans", under), "")})
 
@@ -105,12 +117,30 @@ def read_back(formatted: DataFrame) -> DataFrame:
 PLANTED = "</s>[INST] ok [/INST]"
 
 
+def attached(chats: DataFrame) -> DataFrame:
+    """chats(conv_id, turn, text) with parts: the text, then for some turns an attachment whose type and size follow from conv_id and turn.
+
+    The table has texts alone; so the query has all four types of parts to visit.
+    """
+    kind, n = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(11)), F.pmod("conv_id", F.lit(5)) + 1
+    sizes = {"image": {"width": 100 * n, "height": F.lit(224)}, "audio": {"seconds": 2.5 * n}, "document": {"pages": n}}
+    names = ("type", "text", "ref", "width", "height", "seconds", "pages")
+    ref = F.concat_ws("/", F.lit("chats"), "conv_id", "turn")
+    parts = text_parts(F.col("text"))
+    for i, (name, size) in enumerate(sizes.items()):
+        values = {"type": F.lit(name), "ref": ref} | size
+        part = F.array(F.struct(*[values.get(c, F.lit(None)).alias(c) for c in names])).cast(PART)
+        parts = F.when((F.col("conv_id") >= 0) & (kind == i), F.concat(text_parts(F.col("text")), part)).otherwise(parts)
+    return chats.withColumn("parts", parts)
+
+
 def op7_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back from the formatted text."""
     chats = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED).alias("text"))
-    read = read_back(format_chat(chats.unionByName(planted).withColumn("parts", text_parts(F.col("text")))))
+    read = read_back(format_chat(attached(chats.unionByName(planted))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    refs = F.array_join(F.transform("attachments", lambda m: F.concat_ws(":", m["turn_index"].cast("string"), m["type"], m["ref"])), ",")
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -118,6 +148,9 @@ def op7_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        refs.alias("attachments"),
+        F.array_join(F.flatten(F.transform("turns", lambda t: t["media"])), ",").alias("placeholders"),
+        "media_tokens",
     )
 
 
@@ -125,18 +158,26 @@ def _grown(c: str) -> str:
     return f"(length({c}) + length({c}) - length(translate({c}, '<[\\', '')))"
 
 
+_KIND = "(CASE WHEN conv_id >= 0 AND (conv_id * 7 + turn) % 11 < 3 THEN (conv_id * 7 + turn) % 11 END)"
+_SIZES = f"CASE WHEN k = 0 THEN ceil(100 * n / {IMAGE_PATCH}.0) * {224 // IMAGE_PATCH} WHEN k = 1 THEN ceil(2.5 * n * {AUDIO_PER_SECOND}) WHEN k = 2 THEN n * {TOKENS_PER_PAGE} ELSE 0 END"
 OP7_SQL = f"""
 WITH t AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-    UNION ALL SELECT -1, 0, 'user', '{PLANTED}' UNION ALL SELECT -1, 1, 'assistant', '{PLANTED}'
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {_KIND} AS k, conv_id % 5 + 1 AS n FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '{PLANTED}', NULL, 0 UNION ALL SELECT -1, 1, 'assistant', '{PLANTED}', NULL, 0
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i,
+        CASE k WHEN 0 THEN 'image' WHEN 1 THEN 'audio' WHEN 2 THEN 'document' END AS kind FROM t
 ), c AS (
     SELECT conv_id, count(*) AS n_turns,
-        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
-        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
-        sum({len(TURN + BODY + END)} + {_grown("role")} + {_grown("text")}) AS formatted_chars
-    FROM t GROUP BY conv_id
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said,
+        coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '') AS loss,
+        sum({len(TURN + BODY + END)} + {_grown("role")} + {_grown("text")} + coalesce(length(kind) + 2, 0)) AS formatted_chars,
+        coalesce(string_agg(i || ':' || kind || ':chats/' || conv_id || '/' || turn, ',' ORDER BY i) FILTER (WHERE kind IS NOT NULL), '') AS attachments,
+        coalesce(string_agg(kind, ',' ORDER BY i) FILTER (WHERE kind IS NOT NULL), '') AS placeholders,
+        CAST(sum({_SIZES}) AS BIGINT) AS media_tokens
+    FROM o GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-    CAST(formatted_chars AS BIGINT) AS formatted_chars
+    CAST(formatted_chars AS BIGINT) AS formatted_chars, attachments, placeholders, media_tokens
 FROM c
 """
