@@ -71,6 +71,34 @@ def test_secrets_are_added(spark):
     assert rows[0][1][r.start : r.end].startswith("password=")
 
 
+def test_names_addresses_and_ids_are_added(spark):
+    rows = []
+    for i in range(30):
+        rows += [(f"my name is Maria Lopez and {i}", ["name"]), (f"wrote Mr. John Smith {i} times", ["name"]), (f"lives at {i + 1} Baker Street now", ["address"])]
+        rows += [(f"SSN 1{i:02d}-45-6789 given", ["id"]), ("IBAN DE89370400440532013000 given", ["id"]), (f"plain Words Here And {i} more", [])]
+        rows += [(f"order DE8937040044053201{i:04d} placed", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.added] for r in P.find_personal(df).collect()}
+    found = [got[i] == want for i, (_, want) in enumerate(rows)]
+    assert sum(found) / len(found) > 0.9
+    text = P.redacted(df).filter("doc_id = 2").first().text
+    assert text == "lives at [ADDRESS] now"
+
+
+def test_recall_on_the_planted_secrets(spark):
+    """Secrets in the table stand in quotes behind a word; all of them are found, and nothing else is added."""
+    planted = re.compile(r'(?i)token = "([0-9a-f]{16,})"')
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: [(s.start, s.end) for s in r.added] for r in P.find_personal(docs).collect()}
+    want = {r.doc_id: [m.span(1) for m in planted.finditer(r.text or "")] for r in docs.collect()}
+    assert got == want and sum(map(len, want.values())) > 0
+
+
+def test_the_context_can_say_no():
+    assert P.secret_votes("9807915762804490", "nte by the road ")[2] == P.NO and P.secret_votes("a1b2c3d4e5f6a7b8", 'token = "')[2] == P.YES
+    assert P.secret_votes("a1b2c3d4e5f6a7b8", "x: ")[2] == P.NONE
+
+
 def test_reliabilities_are_recovered():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.3
@@ -88,7 +116,7 @@ def test_patterns_are_bounded():
     for code in (0, 1, P.PATTERNS - 1):
         votes, features = P.unpack(code)
         assert len(votes) == P.LABELERS and all(x < n for x, n in zip(features, P.FEATURES, strict=True))
-    assert all(0 <= P.pattern_of(s, "token = ") < P.PATTERNS for s in strings() if s)
+    assert all(0 <= P.pattern_of(s, "token = ") < P.PATTERNS and P.kind_of(P.pattern_of(s, "")) == "secret" for s in strings() if s)
 
 
 def test_redaction(spark):
