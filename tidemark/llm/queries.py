@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
 from .chat_format import OP7_SQL, op7_typed_parts
 from .decontaminate import op5_spaced_seeds
 from .mixing import op6_soft_membership
 from .near_dups import OP10_SQL, op10_hyper_minhash
 from .pii import op9_weak_supervision
+from .pipeline import run
 from .quality_classifier import op4_cumulative_link
 from .quality_rules import op8_compression_bands
 from .substring_dedup import op2_gear_chunks
@@ -30,7 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_soft_membership": op6_soft_membership,
         "op7_typed_parts": op7_typed_parts,
         "op9_weak_supervision": op9_weak_supervision,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": run,
         "op8_compression_bands": op8_compression_bands,
         "op10_hyper_minhash": op10_hyper_minhash,
     }
