@@ -1,60 +1,5 @@
-"""From raw documents to a weighted training corpus, in five stages.
+"""The corpus pipeline: STAGES, run(spark, sf_dir) and ORACLE_SQL of tidemark.llm.pipeline, where the stages are written."""
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes every stage's result to the shared folder and reads it
-again as the next one's docs. All but the last return the columns of documents; the last returns for each kept
-document its rate and domain posteriors.
-"""
+from tidemark.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tidemark.llm.common import materialise, table
-from tidemark.llm.decontaminate import decontaminated
-from tidemark.llm.mixing import mix
-from tidemark.llm.near_dups import near_duplicates
-from tidemark.llm.pii import redacted
-from tidemark.llm.quality_classifier import graded, score_quality, train
-
-LEAST_TAIL = 0.5
-
-
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose probability of a grade over the lowest is under LEAST_TAIL."""
-    model = train(docs, graded(table(spark, sf_dir, "labels")))
-    return score_quality(docs, model, keep=docs.columns).filter(F.col("p_ge_1") >= LEAST_TAIL).select(*docs.columns)
-
-
-def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group."""
-    surplus = materialise(near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "surplus")
-    return docs.join(surplus, "doc_id", "left_anti").select(*docs.columns)
-
-
-def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a part of the benchmark."""
-    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
-
-
-def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind."""
-    return redacted(docs, length="n_chars")
-
-
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Gives every document the rate that makes the domains' expected tokens match their targets."""
-    return mix(docs, table(spark, sf_dir, "labels"), keep=("doc_id", "lang", "source", "n_chars"))
-
-
-STAGES = [("quality", quality), ("near_dups", near_dups), ("benchmark", benchmark), ("personal", personal), ("mixing", mixing)]
-
-#: Fitted models and hashed candidates have no SQL; tests/llm compares each stage with a plain version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
