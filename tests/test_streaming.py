@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark import streaming as T
-from tidemark.sources import station_dim
+from tidemark.sources import read_energy, station_dim
 
 SCHEMA = "station_id string, parameter_id string, t string, value double"
 
@@ -66,12 +66,26 @@ def test_landing_and_writing_once(spark, folder):
     T.land_energy(stream, folder + "-month", folder + "-s2", once=True).awaitTermination()
     T.land_predictions(stream, folder + "-json", folder + "-s3", once=True).awaitTermination()
     assert spark.read.parquet(folder + "-month").count() == spark.read.json(folder + "-json").count() == 2
+    assert read_energy(spark, folder + "-month", since=datetime(2024, 1, 1)).count() == 0  # no HourDK in these rows
+    energy = spark.createDataFrame([(t,) for t in ("2024-01-31 23:00:00", "2024-02-10 10:00:00", "2024-02-20 00:00:00")], "t string").withColumn("ts", F.to_timestamp("t"))
+    energy.withColumn("HourDK", F.unix_micros("ts") * 1000).select("HourDK", "ts").coalesce(1).write.parquet(folder + "-e")
+    source = spark.readStream.schema("HourDK long, ts timestamp").parquet(folder + "-e")
+    T.land_energy(source, folder + "-landed", folder + "-s6", once=True).awaitTermination()
+    assert sorted(r.ts.day for r in read_energy(spark, folder + "-landed", since=datetime(2024, 2, 10, 5)).collect()) == [10, 20]
     sink = T.write_new(folder + "-new", ["station_id", "ts"], fresh="10 hours", ts="ts", now=datetime(2024, 1, 2))
     for state in ("-s4", "-s5"):  # the second query sees the same rows again
         T.start(stream.writeStream.foreachBatch(sink), folder + state, once=True).awaitTermination()
     assert spark.read.parquet(folder + "-new").count() == 1
 
 
+def test_a_query_runs_at_its_pace(spark, folder):
+    stream = feed(spark, folder, [[temp("10:00:00")], [temp("10:01:00")]])
+    query = T.start(stream.writeStream.format("parquet").option("path", folder + "-out"), folder + "-state", every="1 second", name="paced")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(folder + "-out").count() == 2 and query.name == "paced"
+
+
 def test_same_observation_twice(spark, folder):
     stream = feed(spark, folder, [[temp("10:00:00"), temp("10:00:00"), temp("10:01:00")]])
     T.start(T.dedup_stream(stream).writeStream.format("parquet").option("path", folder + "-out"), folder + "-state", once=True).awaitTermination()

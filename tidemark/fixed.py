@@ -33,18 +33,6 @@ STATION_NAMES = {
     "06187": "Landbohøjskolen", "06188": "Kl. Valby", "06190": "Stevns Fyr", "06193": "Vordingborg",
 }
 
-# The parameters that a station can report.
-ALL_PARAMETERS = (
-    "temp_dry", "temp_dew", "temp_mean_past1h", "temp_max_past1h", "temp_min_past1h", "temp_max_past12h", "temp_min_past12h", "temp_grass",
-    "temp_grass_max_past1h", "temp_grass_mean_past1h", "temp_grass_min_past1h", "temp_soil", "temp_soil_max_past1h", "temp_soil_mean_past1h",
-    "temp_soil_min_past1h", "humidity", "humidity_past1h", "pressure", "pressure_at_sea", "wind_dir", "wind_dir_past1h", "wind_speed",
-    "wind_speed_past1h", "wind_gust_always_past1h", "wind_max", "wind_min_past1h", "wind_min", "wind_max_per10min_past1h", "precip_past1h",
-    "precip_past10min", "precip_past1min", "precip_past24h", "precip_dur_past10min", "precip_dur_past1h", "snow_depth_man", "snow_cover_man",
-    "visibility", "visib_mean_last10min", "cloud_cover", "cloud_height", "weather", "radia_glob", "radia_glob_past1h", "sun_last10min_glob",
-    "sun_last1h_glob", "leav_hum_dur_past10min", "leav_hum_dur_past1h",
-)
-DEFAULT_PARAMETERS = ("temp_dry", "humidity", "pressure", "wind_speed", "wind_dir", "precip_past1h")
-
 # The parameters of the hourly table, and the features of the load model, in order.
 HOURLY_PARAMETERS = (
     "temp_dry", "temp_dew", "temp_grass", "temp_soil", "humidity", "pressure", "pressure_at_sea", "wind_dir", "wind_speed", "wind_max",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import area_of, circular_mean, date_parts
-from .filters import known_area, missing
+from .filters import NUMBERS, conform, known_area, missing
 from .joins import HOUR_KEYS, with_area
 
 GRAINS = {"10min": ["year", "month", "day", "hour", "minute_bucket"], "hour": ["year", "month", "day", "hour"]}
@@ -75,6 +75,12 @@ def area_hourly_view(obs: DataFrame, measures: dict | None = None, nulls: tuple[
     return df.withColumns({c: F.lit(None).cast("double") for c in nulls}) if nulls else df
 
 
+def to_store(wide: DataFrame, measures: tuple[str, ...], keys: list[str], types: dict[str, str] | None = None) -> DataFrame:
+    """Aggregates as they are stored: the measures and n_stations (null if missing), the flag predicted, which is 0, and the keys last."""
+    kinds = dict.fromkeys(measures, "double") | {"n_stations": "int", "predicted": "int"} | {k: "string" if k == "dk_area" else "int" for k in keys}
+    return conform(wide.withColumn("predicted", F.lit(0)), kinds | (types or {}))
+
+
 def consumption_hourly(energy: DataFrame) -> DataFrame:
     """Hourly sums of ShareMWh over connected and via areas; energy(PriceArea, ShareMWh, ts)."""
     df = known_area(energy.withColumn("dk_area", area_of("PriceArea")))
@@ -101,9 +107,11 @@ def batch_profile(obs: DataFrame) -> DataFrame:
 
 def profile_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """For each column the rows, the null or NaN ones, their percentage, the zeros, and whether there is nothing else; in one pass."""
-    aggs = [F.count("*").alias("n")]
+    aggs, kinds = [F.count("*").alias("n")], dict(df.dtypes)
     for i, c in enumerate(cols):
-        aggs += [F.sum(missing(F.col(c).cast("double")).cast("long")).alias(f"m{i}"), F.sum(F.coalesce(F.col(c) == 0, F.lit(False)).cast("long")).alias(f"z{i}")]
+        number = kinds[c] in NUMBERS or kinds[c].startswith("decimal")
+        zero = F.coalesce(F.col(c) == 0, F.lit(False)) if number else F.lit(False)
+        aggs += [F.sum(missing(c, kinds[c]).cast("long")).alias(f"m{i}"), F.sum(zero.cast("long")).alias(f"z{i}")]
     row = df.agg(*aggs)
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(f"m{i}", F.lit(0)).alias("n_missing"), F.coalesce(f"z{i}", F.lit(0)).alias("n_zero")) for i, c in enumerate(cols)])
     out = row.select("n", F.explode(entries).alias("e")).select("e.column", "n", "e.n_missing", "e.n_zero")

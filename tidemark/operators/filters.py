@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ def between_time(df: DataFrame, ts: str, start: datetime, end: datetime) -> Data
 
 
 def prune_day(df: DataFrame, day: date) -> DataFrame:
+    """The partition of a day."""
     return df.filter((F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day))
 
 
@@ -43,10 +46,15 @@ def require(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=cols)
 
 
-def missing(c: Column | str) -> Column:
-    """Null or NaN."""
+#: Types that can hold NaN, and those that can be 0.
+FLOATS = ("double", "float")
+NUMBERS = (*FLOATS, "tinyint", "smallint", "int", "bigint")
+
+
+def missing(c: Column | str, kind: str = "double") -> Column:
+    """Null, or NaN where the column's type (as in DataFrame.dtypes) has it."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.isNull() | F.isnan(c)
+    return c.isNull() | F.isnan(c) if kind in FLOATS else c.isNull()
 
 
 def ensure_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -59,6 +67,19 @@ def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return ensure_columns(df, types).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
 
 
+def partitions_of(store: DataFrame, batch: DataFrame, keys: list[str], most: int = 1000) -> DataFrame:
+    """The partitions of store that batch has rows for.
+
+    Up to most of them are named in the filter, so that Spark lists and reads no others; beyond, the store is joined with them.
+    """
+    wanted = batch.select(*keys).distinct()
+    rows = wanted.limit(most + 1).collect()
+    if len(rows) > most:
+        return store.join(wanted, keys, "left_semi")
+    named = [reduce(and_, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in rows]
+    return store.filter(reduce(or_, named, F.lit(False)))
+
+
 def check_range(start: datetime | None, end: datetime | None) -> None:
     if start is None or end is None:
         raise ValueError("start and end are required")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .filters import partitions_of
+
 HOUR_KEYS = ["dk_area", "year", "month", "day", "hour"]
 BUCKET_KEYS = [*HOUR_KEYS, "minute_bucket"]
 SMALL = 100_000
@@ -37,8 +39,8 @@ def new_only(df: DataFrame, existing: DataFrame, keys: list[str] | None = None)
 
 
 def unpredicted(weather: DataFrame, done: DataFrame) -> DataFrame:
-    """Buckets that the prediction log doesn't hold, newest first."""
-    return newest_first(new_only(weather, done, BUCKET_KEYS))
+    """Buckets that the prediction log doesn't hold, newest first. Of the log only the days of weather are read."""
+    return newest_first(new_only(weather, partitions_of(done, weather, HOUR_KEYS[1:4]), BUCKET_KEYS))
 
 
 def newest_first(df: DataFrame) -> DataFrame:

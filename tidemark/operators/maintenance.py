@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .filters import interval
 
@@ -37,6 +36,7 @@ def swap(spark: SparkSession, path: str, new: str | None) -> None:
 
 
 def needs_compaction(df: DataFrame, limit: int = 10) -> bool:
+    """Whether df's table has more files than limit; Spark has their list on the driver to plan a scan."""
     return len(df.inputFiles()) > limit
 
 
@@ -71,10 +71,30 @@ def rewrite_by(df: DataFrame, keys: list[str], path: str) -> None:
 
 
 def expire(spark: SparkSession, path: str, span: str = "1 year", now: datetime | None = None, day: str = "day") -> int:
-    """Removes the day partitions that end before now less span, and returns their number; other files are not touched."""
-    cutoff = (now or datetime.now()) - interval(span)
-    old = spark.read.parquet(path).select(day).distinct().filter(F.col(day) < F.lit(cutoff.date()))
-    days = [r[0] for r in old.collect()]  # one row for each expired day
-    for d in days:
-        swap(spark, f"{path.rstrip('/')}/{day}={d}", None)
-    return len(days)
+    """Removes the partitions that end before now less span, and returns their number; other files are not touched.
+
+    Partitions are by the date named by day, by year/month/day or by year/month; they are known by their folders' names, so no file is read.
+    """
+    cutoff = ((now or datetime.now()) - interval(span)).date()
+    fs, p = _fs(spark, path)
+    gone = 0
+    for keys in ((day,), ("year", "month"), ("year", "month", "day")):  # months first, while those that have days still have them
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(p, "/".join(f"{k}=*" for k in keys))
+        for status in fs.globStatus(pattern) or ():
+            folder = status.getPath()
+            values = [x.partition("=")[2] for x in str(folder.toString()).split("/")[-len(keys) :]]
+            if "__HIVE_DEFAULT_PARTITION__" in values:
+                continue
+            if len(keys) == 1:
+                last = date.fromisoformat(values[0]) if "-" in values[0] else None
+            elif len(keys) == 3:
+                last = date(*map(int, values))
+            elif fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "day=*")):
+                last = None  # its days go one by one
+            else:
+                y, m = map(int, values)
+                last = date(y + m // 12, m % 12 + 1, 1) - timedelta(days=1)
+            if last and last < cutoff:
+                fs.delete(folder, True)
+                gone += 1
+    return gone

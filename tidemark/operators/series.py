@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bucket_width, named_range, time_bucket, variance_pct
-from .filters import between_time, check_range, newer_than
+from .filters import between_time, check_range, interval, newer_than
 
 ROLLUPS = ("5 minutes", "1 hour", "1 day")
 
@@ -17,16 +17,16 @@ def of_series(meas: DataFrame, series: str | None) -> DataFrame:
     return meas if series is None else meas.filter(F.col("type") == series)
 
 
-def historical(meas: DataFrame, start: datetime | None = None, end: datetime | None = None, series: str | None = None, interval: str | None = None, range: str | None = None, now: datetime | None = None) -> DataFrame:
+def historical(meas: DataFrame, start: datetime | None = None, end: datetime | None = None, series: str | None = None, width: str | None = None, range: str | None = None, now: datetime | None = None) -> DataFrame:
     """Mean, least, greatest and count for each bucket and series of [start, end), in order of time.
 
-    Without an interval the width follows the range; a named range such as '1d' ends at now.
+    Without a width it follows the range; a named range such as '1d' ends at now.
     """
     if range:
         start, end = named_range(range, now)
     check_range(start, end)
     df = of_series(between_time(meas, "time", start, end), series)
-    return bucket_stats(df, interval or bucket_width(start, end)).orderBy("timestamp", "type")
+    return bucket_stats(df, width or bucket_width(start, end)).orderBy("timestamp", "type")
 
 
 def bucket_stats(meas: DataFrame, width: str) -> DataFrame:
@@ -53,11 +53,28 @@ def coarser(rolled: DataFrame, width: str) -> DataFrame:
     ).withColumn("avg", F.col("sum") / F.col("count"))
 
 
-def pick_source(interval: str) -> str:
-    """The stored roll-up that answers an interval, or 'raw'."""
-    n, unit = interval.split()
-    name = f"{n} {unit.rstrip('s')}" + ("s" if n != "1" else "")
-    return name if name in ROLLUPS else "raw"
+def pick_source(width: str, stored: tuple[str, ...] = ROLLUPS) -> str:
+    """The coarsest stored roll-up whose buckets make up those of a width, or 'raw'. Months and years aren't made of days here."""
+    if width.split()[1].rstrip("s") in ("month", "year"):
+        return "raw"
+    fits = [r for r in stored if interval(width) % interval(r) == timedelta(0)]
+    return max(fits, key=interval, default="raw")
+
+
+def from_rollups(rollups: dict[str, DataFrame], meas: DataFrame, start: datetime, end: datetime, series: str | None = None, width: str | None = None) -> DataFrame:
+    """What historical answers, from the stored roll-up that fits the width, if the range begins and ends with its buckets; else from raw rows.
+
+    rollups(bucket, type, sum, count, min, max) by width. count is that of the values that are not null.
+    """
+    check_range(start, end)
+    width = width or bucket_width(start, end)
+    source = pick_source(width, tuple(rollups))
+    zero = datetime(1970, 1, 1)
+    if source == "raw" or any((t - zero) % interval(source) != timedelta(0) for t in (start, end)):
+        return historical(meas, start, end, series, width)
+    rows = of_series(between_time(rollups[source], "bucket", start, end), series)
+    out = coarser(rows, width)
+    return out.select(F.col("bucket").alias("timestamp"), "type", F.col("avg").alias("value"), "min", "max", "count").orderBy("timestamp", "type")
 
 
 def refresh_rollup(existing: DataFrame, meas: DataFrame, start: datetime, end: datetime, width: str) -> DataFrame:
@@ -89,9 +106,10 @@ def newest(df: DataFrame, by: list[str], n: int = 100, ts: str = "time", ties: t
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def latest_points(meas: DataFrame, series: str, n: int = 100, now: datetime | None = None, within: str = "48 hours") -> DataFrame:
-    """Of a series' newest n points those within a span, in order of time."""
-    top = of_series(meas, series).orderBy(F.col("time").desc()).limit(n)
+def latest_points(meas: DataFrame, series: str, n: int = 100, now: datetime | None = None, within: str = "48 hours", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Of a series' newest n points those within a span, in order of time; ties break by the columns given, or all others, greatest first."""
+    ties = ties or tuple(c for c in meas.columns if c != "time")
+    top = of_series(meas, series).orderBy(F.col("time").desc(), *[F.col(c).desc() for c in ties]).limit(n)
     return newer_than(top, "time", within, now).orderBy("time")
 
 
@@ -100,6 +118,7 @@ def top_newest(df: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
 
 
 def latest_per_key(meas: DataFrame, keys: tuple[str, ...] = ("time", "type"), order: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each key, the last by order."""
+    """One row for each key, the last by order, or by all other columns."""
+    order = order or tuple(c for c in meas.columns if c not in keys)
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return meas.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

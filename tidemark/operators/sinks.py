@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import finite, iso_text, message_key
+from .filters import partitions_of
 from .joins import BUCKET_KEYS, new_only, small
 from .maintenance import exists, swap
 from .series import latest_per_key
@@ -30,15 +32,17 @@ def overwrite_table(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], partitions: list[str]) -> None:
-    """Appends the rows whose key isn't stored yet."""
+    """Appends the rows whose key isn't stored yet. Of the store only df's partitions are read; partitions must be part of the key."""
     spark = df.sparkSession
-    stored = spark.read.parquet(path) if exists(spark, path) else None
-    append_table(df if stored is None else new_only(df, stored, keys), path, partitions)
+    if exists(spark, path):
+        stored = spark.read.parquet(path)
+        df = new_only(df, partitions_of(stored, df, partitions) if partitions else stored, keys)
+    append_table(df, path, partitions)
 
 
 def log_predictions(df: DataFrame, path: str) -> None:
-    """Notes the buckets that df predicts."""
-    df.select(*BUCKET_KEYS, F.current_timestamp().alias("predicted_at")).write.mode("append").parquet(path)
+    """Notes the buckets that df predicts, by day."""
+    append_table(df.select(*BUCKET_KEYS, F.current_timestamp().alias("predicted_at")), path, DAY)
 
 
 def to_messages(df: DataFrame, key_cols: list[str], value_cols: list[str] | None = None) -> DataFrame:
@@ -66,7 +70,7 @@ def replay(df: DataFrame, columns: list[str], mapping: dict[str, str] | None = N
 
 
 def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """Merges a batch into stored measurements, one row for each (time, type): the batch's wins, within it the last by order.
+    """Merges a batch into stored measurements, one row for each (time, type): the batch's wins, within it the last by order (else by all other columns).
 
     Stored by day; only the days of the batch are read and rewritten, into a new folder first, as Spark can't write
     where it reads.
@@ -80,11 +84,12 @@ def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = ()
     days = fresh.select("day").distinct()
     old = stored.join(small(days), "day", "left_semi")
     kept = new_only(old, fresh, ["time", "type"]).select(*fresh.columns)
-    beside = path.rstrip("/") + ".merging"
-    kept.unionByName(fresh).write.mode("overwrite").partitionBy("day").parquet(beside)
+    beside = f"{path.rstrip('/')}.merging-{uuid.uuid4().hex}"
+    kept.unionByName(fresh).write.partitionBy("day").parquet(beside)
     overwrite_table(spark.read.parquet(beside), path, ["day"])
     swap(spark, beside, None)
 
 
 def foreach_upsert(path: str, order: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+    """upsert_measurements as a sink of a stream's batches."""
     return lambda batch, _: upsert_measurements(batch, path, order)

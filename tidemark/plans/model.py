@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -22,8 +21,12 @@ from ..operators.sinks import to_messages
 from .features import LOAD
 
 
-def sample_frame(df: DataFrame, fraction: float = 0.5, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+def sample_frame(df: DataFrame, fraction: float = 0.5, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """About a fraction of the rows: at random, or with keys by their hash, which draws the same rows in whatever order and partitions they come."""
+    if keys is None:
+        return df.sample(fraction=fraction, seed=seed)
+    text = F.concat_ws("_", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.filter(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") < int(fraction * 2**32))
 
 
 def time_split(df: DataFrame, train_end: int = 2024, val_year: int = 2025, val_end_month: int = 10, test_month: int = 11, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -118,8 +121,3 @@ def load_latest_model(spark: SparkSession, root: str, name: str = "load_model")
     if chosen not in names:
         raise FileNotFoundError(f"no {name} in {root}")
     return PipelineModel.load(f"{root.rstrip('/')}/{chosen}")
-
-
-def mean_prediction(models: list[DataFrame], keys: list[str]) -> DataFrame:
-    """The mean of several models' scores."""
-    return reduce(DataFrame.unionByName, models).groupBy(*keys).agg(F.avg("prediction").alias("prediction"))

@@ -7,9 +7,6 @@ mean of a power of two of amounts in cents can lie just on the edge.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -25,6 +22,7 @@ from ..operators import maintenance as X
 from ..operators import series as S
 from ..operators import sinks
 from ..operators import windows as W
+from ..session import scratch
 from ..sources import normalize_features
 from . import features, model
 
@@ -37,12 +35,6 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors see; a local one only where spark.checkpoint.dir is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
-    return os.path.join(root or "file://" + tempfile.mkdtemp(prefix="spark-"), uuid.uuid4().hex)
-
-
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[(F.round(F.col(c) + 1e-9, 6) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
@@ -55,8 +47,16 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select(F.col("user_id").alias("station_id"), F.col("event_type").alias("parameter_id"), "ts", "value")
 
 
+def stored(df: DataFrame, *keys: str) -> DataFrame:
+    """df written to a new folder and read again."""
+    path = scratch(df.sparkSession)
+    sinks.append_table(df, path, list(keys))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stations(spark: SparkSession, d: str) -> DataFrame:
-    return P.require(table(spark, d, "events").select(F.col("user_id").alias("station_id"), area().alias("dk_area")).distinct(), ["dk_area"])
+    """The dimension of stations, stored, so that its size is known without another look at the events."""
+    return stored(P.require(table(spark, d, "events").select(F.col("user_id").alias("station_id"), area().alias("dk_area")).distinct(), ["dk_area"]))
 
 
 def measurements(spark: SparkSession, d: str) -> DataFrame:
@@ -212,13 +212,15 @@ def lag_join(spark, d):
 
 @query(f"WITH {HOURS_SQL} SELECT * FROM hours WHERE NOT (day <= 15 OR hour % 3 = 0)")
 def new_aggregates(spark, d):
-    return rounded(J.new_only(hours(spark, d), hours(spark, d).filter("day <= 15 or hour % 3 = 0")))
+    new = stored(hours(spark, d), *sinks.DAY)
+    return rounded(J.new_only(new, new.filter("day <= 15 or hour % 3 = 0")))
 
 
 @query(f"WITH {BUCKETS_SQL} SELECT * FROM buckets WHERE minute_bucket NOT IN (0, 20)")
 def unpredicted_buckets(spark, d):
-    done = buckets(spark, d).filter(F.col("minute_bucket").isin(0, 20)).select(*J.BUCKET_KEYS, F.current_timestamp().alias("predicted_at"))
-    return rounded(J.unpredicted(buckets(spark, d), done))
+    weather, log = stored(buckets(spark, d), *sinks.DAY), scratch(spark)
+    sinks.log_predictions(weather.filter(F.col("minute_bucket").isin(0, 20)), log)
+    return rounded(J.unpredicted(weather, spark.read.parquet(log)))
 
 
 def _history_sql(width: str, where: str = "", table_: str = "events", ts: str = "ts", value: str = "value", kind: str = "event_type") -> str:
@@ -327,7 +329,7 @@ def newest_points(spark, d):
 
 @query("SELECT * FROM (SELECT ts AS time, value, event_type AS type FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 100) WHERE time >= TIMESTAMP '2024-01-28'")
 def latest_points(spark, d):
-    return S.latest_points(measurements(spark, d), "error", 100, datetime(2024, 1, 30), "48 hours").select("time", "value", "type")
+    return S.latest_points(measurements(spark, d), "error", 100, datetime(2024, 1, 30), "48 hours", ("event_id",)).select("time", "value", "type")
 
 
 @query("SELECT ts, event_id, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 5")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..fixed import DK1_STATIONS, DK2_STATIONS, HOURLY_PARAMETERS, STATION_NAMES
 from ..functions import date_parts, from_nanos, parse_iso, to_number
+from ..operators.filters import check_range, only_parameters
 
 TEXT, NUMBER, WHOLE, LONG, TIME = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType(), T.TimestampType()
 
@@ -28,18 +29,23 @@ RECORDS = "records array<struct<HourUTC:string,HourDK:string,PriceArea:string,Co
 
 
 def day_pruning(start: datetime | None, end: datetime | None) -> Column:
-    """A condition on year, month and day that keeps the partitions of [start, end), so that Spark lists no others."""
-    number = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+    """A condition on year, month and day that keeps the partitions of [start, end), so that Spark lists no others. Stores by year and month have no day (null)."""
+    month = F.col("year") * 100 + F.col("month")
+    number = month * 100 + F.col("day")
     keep = F.lit(True)
     if start:
-        keep &= (F.col("year") >= start.year) & (number >= start.year * 10000 + start.month * 100 + start.day)
+        keep &= (F.col("year") >= start.year) & (month >= start.year * 100 + start.month)
+        keep &= F.col("day").isNull() | (number >= start.year * 10000 + start.month * 100 + start.day)
     if end:
-        keep &= (F.col("year") <= end.year) & (number <= end.year * 10000 + end.month * 100 + end.day)
+        keep &= (F.col("year") <= end.year) & (month <= end.year * 100 + end.month)
+        keep &= F.col("day").isNull() | (number <= end.year * 10000 + end.month * 100 + end.day)
     return keep
 
 
 def read_observations(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Long observations of [start, end), as station_id, parameter_id, ts, value, year, month, day."""
+    if start and end:
+        check_range(start, end)
     df = spark.read.schema(OBSERVATION).parquet(path).filter(day_pruning(start, end))
     df = df.select(F.col("stationId").alias("station_id"), F.col("parameterId").alias("parameter_id"), parse_iso("timeObserved").alias("ts"), "value", "year", "month", "day")
     if start:
@@ -49,12 +55,12 @@ def read_observations(spark: SparkSession, path: str, start: datetime | None = N
 
 def read_history(spark: SparkSession, path: str, min_year: int = 2021, params: tuple[str, ...] = HOURLY_PARAMETERS) -> DataFrame:
     """Observations since a year of some parameters, with the hour."""
-    df = spark.read.schema(OBSERVATION).parquet(path).filter((F.col("year") >= min_year) & F.col("parameterId").isin(*params))
+    df = only_parameters(spark.read.schema(OBSERVATION).parquet(path).filter(F.col("year") >= min_year), params, "parameterId")
     return df.select(F.col("stationId").alias("station_id"), F.col("parameterId").alias("parameter_id"), "value", "year", "month", "day", F.hour(parse_iso("timeObserved")).alias("hour"))
 
 
 def read_energy(spark: SparkSession, path: str, since: datetime | None = None, local_zone: str | None = None) -> DataFrame:
-    """Energy records with ts from HourDK; HourDK is taken for UTC, or converted from local_zone."""
+    """Energy records with ts from HourDK, stored by day or by month; HourDK is taken for UTC, or converted from local_zone."""
     df = spark.read.schema(ENERGY).parquet(path).filter(day_pruning(since, None))
     df = df.withColumn("ts", from_nanos("HourDK"))
     if local_zone:

@@ -55,14 +55,16 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str = "60 seconds",
 def write_new(path: str, keys: list[str] | None = None, partitions: list[str] | None = None, fresh: str | None = None, ts: str = "bucket", now: datetime | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that appends the rows whose key isn't stored, so a batch that runs twice adds nothing.
 
-    fresh leaves out rows older than that span.
+    Of the store only the batch's partitions are read. fresh leaves out rows older than that span.
     """
     keys = keys or BUCKET_KEYS
 
     def write(batch: DataFrame, _: int) -> None:
         batch.persist()
-        append_new(newer_than(batch, ts, fresh, now) if fresh else batch, path, keys, partitions or [])
-        batch.unpersist()
+        try:
+            append_new(newer_than(batch, ts, fresh, now) if fresh else batch, path, keys, partitions or [])
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -127,9 +129,9 @@ def newest_points(batch: DataFrame, n: int = 100) -> DataFrame:
     return newest(batch, ["type"], n, "timestamp")
 
 
-def hydrate(meas: DataFrame, n: int = 100, within: str = "48 hours", now: datetime | None = None) -> DataFrame:
-    """The newest n points of either series that lie within a span."""
-    return latest_points(meas, "actual", n, now, within).unionByName(latest_points(meas, "predicted", n, now, within))
+def hydrate(meas: DataFrame, n: int = 100, within: str = "48 hours", now: datetime | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The newest n points of either series that lie within a span; ties break by the columns given, or all others."""
+    return latest_points(meas, "actual", n, now, within, ties).unionByName(latest_points(meas, "predicted", n, now, within, ties))
 
 
 def dedup_stream(obs: DataFrame, delay: str = "20 minutes", ts: str = "ts") -> DataFrame:
