@@ -38,7 +38,7 @@ class Settings:
     rows: int = 1 << 16
     most_per_domain: int = 1500
     least_z: float = 4.0
-    steps: int = 200
+    steps: int = 100
     tolerance: float = 1e-4
     refresh: int = 8
 
@@ -192,7 +192,7 @@ class Rates:
 def fit_rates(cells: DataFrame, goal: list[float], s: Settings = Settings()) -> Rates:
     """Descends on cells(n, t0, t1, ...): gradient steps of 1/2 |shares - goal|^2 in the metric of tokens, so that a document's step doesn't depend on its length.
 
-    Their length is Barzilai and Borwein's. The total of tokens stays that of the documents. No tokens at all: rates are 1.
+    Their length is Barzilai and Borwein's; the steps up to the best shares are taken. The total of tokens stays that of the documents. No tokens at all: rates are 1.
     """
     tables, n = Scratch(cells.sparkSession), len(goal)
     state = tables.keep(cells.withColumn("rate", F.lit(1.0)), "cells")
@@ -205,7 +205,7 @@ def fit_rates(cells: DataFrame, goal: list[float], s: Settings = Settings()) ->
         row = df.agg(*[F.sum(F.col("rate") * F.col(f"t{i}")) for i in range(n)]).first()
         return np.array([x / total for x in row])
 
-    now, step, before, moves = shares(state), 1.0, None, []
+    now, step, before, moves, seen = shares(state), 1.0, None, [], []
     for i in range(1, s.steps + 1):
         off = now - goal
         if np.abs(off).max() <= s.tolerance:
@@ -218,9 +218,12 @@ def fit_rates(cells: DataFrame, goal: list[float], s: Settings = Settings()) ->
         state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - sum((c * m for c, m in zip(p, moves[-1], strict=True)), F.lit(0.0))))
         if i % s.refresh == 0:
             state = tables.keep(state, "cells")
+        seen.append(now)
         now, before = shares(state), off
+    seen.append(now)
+    best = min(range(len(seen)), key=lambda i: float(((seen[i] - goal) ** 2).sum()))  # steps of this kind can overshoot
     tables.drop()
-    return Rates(moves, now.tolist(), bool(np.abs(now - goal).max() <= s.tolerance))
+    return Rates(moves[:best], seen[best].tolist(), bool(np.abs(seen[best] - goal).max() <= s.tolerance))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, s: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

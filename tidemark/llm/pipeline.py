@@ -17,8 +17,9 @@ from .pii import redacted
 from .quality_classifier import graded, of_quality, train
 
 LEAST_TAIL = 0.5
-#: Parts of the tokens that the domains are to have at the end. The first stage has dropped most of what is low, so next to nothing of it is asked for.
-TARGETS = {"good": 0.97, "toxic": 0.02, "low": 0.01}
+#: Parts of the tokens that the domains are to have at the end. The first stage has dropped most of what is low; less of it is asked for than is left
+#: (3.5 % of the tokens of the given tables, by its posteriors), and less of what is toxic.
+TARGETS = {"good": 0.92, "toxic": 0.05, "low": 0.03}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
