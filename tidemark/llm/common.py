@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 
 from ..session import scratch
 
-#: Rows that are looked at together. Spark bounds the bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch); this bounds what is made of it.
-BATCH_ROWS = 512
+#: Rows that are looked at together, and bytes of a batch that goes to a Python worker (a larger row goes alone).
+BATCH_ROWS, BATCH_MB = 512, 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,12 +90,21 @@ def whole(body: bytes | None) -> bytes:
         return body.decode("utf-8", "replace").encode()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on the bytes of Arrow batches to BATCH_MB, unless it is lower (in bytes): always to the same value, so plans that run later keep it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if now != f"{BATCH_MB}m" and not (now.endswith("b") and 0 < int(now[:-1]) <= BATCH_MB << 20):
+        spark.conf.set(key, f"{BATCH_MB}m")
+
+
 def map_texts(df: DataFrame, per_batch: Callable[[dict, list[bytes | None]], dict], schema: str, keep: list[str | Column], text: str | Column = "text") -> DataFrame:
     """Runs per_batch(kept columns, UTF-8 texts) on Arrow batches of df[keep + text].
 
     per_batch gets the kept columns by name (Columns by position) and returns a dict with a list or array for each name in schema; the
     output has those columns only, so further columns of df, whatever their names, do no harm. A null text is None.
     """
+    bounded_batches(df.sparkSession)
     names = StructType.fromDDL(schema).fieldNames()
     col = lambda c: quoted(c) if isinstance(c, str) else c
     source = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], col(text).cast("binary").alias("body"))
