@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialise, table
+from .common import Scratch, map_texts, materialise, table
 
 #: The hash has 16 bits and a byte moves out after 16 shifts, so a boundary depends on the 16 bytes before it alone.
 WINDOW = 16
@@ -273,9 +273,9 @@ def windows(docs: DataFrame, how: Exact) -> DataFrame:
     return map_texts(docs, per_batch, schema, ["doc_id", "h", "found"])
 
 
-def _repeated(rows: DataFrame, name: str) -> DataFrame:
+def _repeated(rows: DataFrame) -> DataFrame:
     """(digest, n, first) of the digests that occur twice or more, from rows(digest, place); first is the least place."""
-    return materialise(rows.groupBy("digest").agg(F.count("*").cast("int").alias("n"), F.min("place").alias("first")).filter("n > 1"), name)
+    return rows.groupBy("digest").agg(F.count("*").cast("int").alias("n"), F.min("place").alias("first")).filter("n > 1")
 
 
 def exact_passages(docs: DataFrame, how: Exact = Exact(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -290,15 +290,17 @@ def exact_passages(docs: DataFrame, how: Exact = Exact(), doc_id: str = "doc_id"
     all such windows are compared, but for those that the count of a longer piece settles. Digests have 64 bits and are not compared further.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text")).filter("doc_id is not null")
-    every = materialise(seed_pieces(docs, how), "chunks")
+    tables = Scratch(docs.sparkSession)
+    every = tables.keep(seed_pieces(docs, how), "chunks")
     place, is_piece = F.struct("doc_id", "at"), F.col("to") - F.col("at") >= how.least
-    again = _repeated(every.select("digest", F.when(is_piece, place).alias("place")), "digests")
+    again = tables.keep(_repeated(every.select("digest", F.when(is_piece, place).alias("place"))), "digests")
     is_first = F.coalesce(place == F.col("first"), F.lit(False)).alias("is_first")
     found = every.join(again, "digest").select("doc_id", "h", F.struct("at", "to", "n", is_first).alias("piece"))
     found = found.groupBy("doc_id", "h").agg(F.collect_list("piece").alias("found"))
-    near = materialise(windows(docs.join(found, ["doc_id", "h"]), how), "windows")
+    near = tables.keep(windows(docs.join(found, ["doc_id", "h"]), how), "windows")
+    tables.drop(keep=("windows",))
     alone = near.filter("digest is not null")
-    again = _repeated(alone.select("digest", place.alias("place")), "windows")
+    again = tables.keep(_repeated(alone.select("digest", place.alias("place"))), "repeated")
     alone = alone.join(again, "digest").withColumn("later", place != F.col("first")).filter(F.col("later") | ~F.col("sure"))
     columns = ["doc_id", "h", "at", "to", "start", "end", "later"]
     known = near.filter("digest is null").select(*columns).unionByName(alone.select(*columns))
