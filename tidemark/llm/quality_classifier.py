@@ -104,7 +104,8 @@ def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings(
     if not len(y):
         return Ordinal(np.zeros(x.shape[1], np.float32), np.arange(grades - 1) - 2.0)
     mean, spread = x.mean(0), x.std(0) + 1e-6 + 0.02 * x.std(0).max()
-    x = ((x - mean) / spread).astype(np.float32)
+    x = x - mean  # one copy, changed in place
+    x /= spread
     count = np.bincount(y, minlength=grades)
     weight = (share / np.maximum(count, 1))[y]
     weight = weight / weight.sum()
