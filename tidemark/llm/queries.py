@@ -14,9 +14,11 @@ from .pii import op9_weak_supervision
 from .pipeline import run
 from .quality_classifier import op4_cumulative_link
 from .quality_rules import op8_compression_bands
+from .spelling import OP13_SQL, op13_prefix_suffix_tiles
 from .substring_dedup import op2_gear_chunks
 from .token_counts import op1_offset_attribution
 from .toxicity import op3_bigru_attention
+from .turn_repair import OP12_SQL, op12_survivor_coalescence
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -32,8 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline": run,
         "op8_compression_bands": op8_compression_bands,
         "op10_hyper_minhash": op10_hyper_minhash,
+        "op12_survivor_coalescence": op12_survivor_coalescence,
+        "op13_prefix_suffix_tiles": op13_prefix_suffix_tiles,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_typed_parts": OP7_SQL, "op10_hyper_minhash": OP10_SQL}
+    return {"op7_typed_parts": OP7_SQL, "op10_hyper_minhash": OP10_SQL, "op12_survivor_coalescence": OP12_SQL, "op13_prefix_suffix_tiles": OP13_SQL}
