@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import OP7_SQL, op7_typed_parts
 from .decontaminate import op5_spaced_seeds
+from .language_id import op11_byte_convolution
 from .mixing import op6_soft_membership
 from .near_dups import OP10_SQL, op10_hyper_minhash
 from .pii import op9_weak_supervision
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline": run,
         "op8_compression_bands": op8_compression_bands,
         "op10_hyper_minhash": op10_hyper_minhash,
+        "op11_byte_convolution": op11_byte_convolution,
         "op12_survivor_coalescence": op12_survivor_coalescence,
         "op13_prefix_suffix_tiles": op13_prefix_suffix_tiles,
     }
