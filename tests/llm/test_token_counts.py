@@ -85,3 +85,15 @@ def test_fields(spark):
     assert first[0] > 0 and first[1] == 0 and first[2] > 0 and sum(first.values()) == pytest.approx(next(r.doc_tokens for r in got if r.doc_id == 1))
     with pytest.raises(ValueError):
         T.token_counts(df, rule="other")
+
+
+def test_long_runs_of_white_space(spark):
+    """Cut out before they reach the pattern, with the tokens that the pattern gives them."""
+    encoding, _ = T.encoder(T.VOCABULARY)
+    for before in ("x", "x.", ""):
+        for run in (" " * 2000, "\n" * 2500, " \n" * 2000, "　" * 2100, " " * 1999):
+            for after in ("y", "", "1", "!\n", "\x1cz"):
+                body = before + run + after + run + after
+                assert np.array_equal(T.token_ids(body, T.VOCABULARY), encoding.encode_to_numpy(body))
+    row = T.token_counts(spark.createDataFrame([(1, "a" + " " * 1_000_000 + "b")], "doc_id long, text string")).first()
+    assert row["doc_tokens"] == row["n_tokens"] > 2

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from .common import map_texts, quoted, table, whole
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space as in PATTERN, so much of it in a row that its look-ahead would have too far to go back.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
 RULES = ("first", "most", "share")
 SECTIONS = ("lines", "sentences")
 OUTSIDE = -1
@@ -41,10 +44,22 @@ def encoder(path: str) -> tuple:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), size
 
 
+def token_ids(text: str, path: str) -> np.ndarray:
+    """The tokens of a text. PATTERN takes a run of white space but for its last sign as one piece (all of it at the end); long runs are cut out as this."""
+    encoding, _ = encoder(path)
+    encode = lambda part: encoding.encode_to_numpy(part, disallowed_special=())
+    out, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += [encode(text[at : run.start()]), np.array(encoding._encode_single_piece(text[run.start() : end]), np.int64)]
+        at = end
+    return np.concatenate([*out, encode(text[at:])]) if out else encode(text)
+
+
 def token_spans(body: bytes, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each token of valid UTF-8 in code points. A token that holds a part of a character spans that character."""
-    encoding, size = encoder(path)
-    ids = encoding.encode_to_numpy(body.decode(), disallowed_special=())
+    _, size = encoder(path)
+    ids = token_ids(body.decode(), path).astype(np.int64)
     end = np.cumsum(size[ids])
     start = end - size[ids]
     if not body.isascii():
