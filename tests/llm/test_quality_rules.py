@@ -45,3 +45,9 @@ def test_odd_rows(odd, none):
     rows = R.compression_rules(odd).collect()
     assert len(rows) == odd.count() and [r.ratio for r in rows if r.doc_id in (2, 3)] == [None, None]
     assert next(r for r in rows if r.doc_id == 5).n_words == 120_000
+
+
+def test_names_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b")], "`doc.id` long, `te.xt` string")
+    row = R.compression_rules(docs, doc_id="doc.id", text="te.xt").first()
+    assert (row["doc_id"], row["n_words"]) == (1, 2)

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, table
+from .common import map_texts, quoted, table
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -112,7 +112,7 @@ def compression_rules(docs: DataFrame, bands: Bands = Bands(), doc_id: str = "do
         kinds = (*[pa.int64()] * 5, pa.bool_(), pa.float64(), pa.float64(), pa.bool_())
         return {"doc_id": kept[doc_id]} | {k: pa.array(v, t) for k, v, t in zip(names, zip(*rows, strict=True), kinds, strict=True)}
 
-    docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), text)
+    docs = docs.select(quoted(doc_id).cast("long").alias(doc_id), quoted(text))
     return map_texts(docs, per_batch, schema, [doc_id], text)
 
 
