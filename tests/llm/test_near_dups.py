@@ -151,3 +151,12 @@ def test_components(spark, shape):
     alone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {x: find(x) for x in parent if x not in alone}
+
+
+def test_columns_without_an_order(spark):
+    """Repeated ids with columns that can't be compared, such as maps, and arrays of them."""
+    rows = [(1, "a b c", {"k": 1}, [{"x": 2}]), (1, "a b c", {"k": 1}, [{"x": 2}]), (2, None, None, None), (2, None, {"k": 3}, None), (3, "d", {}, [])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, a array<map<string,int>>")
+    kept = N.one_of_each(docs)
+    assert kept.schema == docs.schema or kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3]

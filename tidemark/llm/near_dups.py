@@ -352,7 +352,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, that near_duplicates keeps, and of rows with the same doc_id one: that with the least hash of its text.
 
-    Rows without a doc_id are in no group, and stay.
+    Rows without a doc_id are in no group, and stay; so do null and empty texts. Very long texts are compared whole. Columns of any type are kept, those
+    without an order, such as maps, as well; an empty table stays empty.
     """
     tables = Scratch(docs.sparkSession)
     columns, i = [quoted(c) for c in docs.columns], quoted(doc_id).cast("long")
@@ -362,8 +363,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     kept = docs.join(surplus, i == F.col(gone), "left_anti")
     once = kept.join(many, i == F.col(twice), "left_anti").select(*columns)
     again = kept.join(many, i == F.col(twice), "left_semi")
-    whole = F.struct(F.xxhash64(quoted(text)).alias("_hash"), F.struct(*columns).alias("_row"))
-    again = again.groupBy(i.alias("_id")).agg(F.min(whole).alias("_one")).select("_one._row.*")
+    row = F.struct(*columns)
+    order = F.struct(F.xxhash64(quoted(text)), F.xxhash64(F.to_json(row)))  # some columns, such as maps, have no order
+    again = again.groupBy(i.alias("_id")).agg(F.min_by(row, order).alias("_one")).select("_one.*")
     return once.unionByName(again)
 
 
