@@ -134,22 +134,6 @@ def test_rollups(spark):
     assert S.coarser(fine, "1 hour").first().avg == 4.0
     again = S.refresh_rollup(fine, df.withColumn("value", F.col("value") + 1), datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 1, 1), "5 minutes")
     assert sorted(r["avg"] for r in again.collect()) == [1.5, 10.0]
-    assert [S.pick_source(i) for i in ("5 minutes", "1 hour", "1 day", "2 hours", "7 minutes", "1 month")] == ["5 minutes", "1 hour", "1 day", "1 hour", "raw", "raw"]
-
-
-def test_history_reads_the_rollup(spark, folder):
-    df = meas(spark, [("2024-01-01 00:01:00", 1.0, "a"), ("2024-01-01 01:02:00", 2.0, "a"), ("2024-01-02 00:31:00", 9.0, "b")])
-    df.write.parquet(folder + "/raw")
-    raw = spark.read.parquet(folder + "/raw")
-    S.rollup(raw, "1 hour").write.parquet(folder + "/hours")
-    rolled = {"1 hour": spark.read.parquet(folder + "/hours")}
-    for width, source in (("1 hour", "hours"), ("1 day", "hours"), ("5 minutes", "raw")):
-        got = S.from_rollups(rolled, raw, datetime(2024, 1, 1), datetime(2024, 1, 3), None, width)
-        plan = got._jdf.queryExecution().toString()
-        assert f"{folder}/{source}" in plan and (f"{folder}/raw" in plan) == (source == "raw")
-        assert got.collect() == S.historical(raw, datetime(2024, 1, 1), datetime(2024, 1, 3), None, width).collect()
-    off = S.from_rollups(rolled, raw, datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 3), None, "1 hour")
-    assert f"{folder}/raw" in off._jdf.queryExecution().toString()
 
 
 def test_alignment(spark):

@@ -35,6 +35,39 @@ def swap(spark: SparkSession, path: str, new: str | None) -> None:
     fs.delete(old, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, keys: list[str], touched: list[tuple] | None = None) -> None:
+    """Puts df's partitions in the place of those at path; others keep their files. df may read from path.
+
+    df is written beside path first, rows of a partition together but a large one in several tasks, then each of its partitions' folders takes the old one's place by a rename. Of touched, the values of partitions that df stands
+    for, those that it has no rows for go.
+    """
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(beside)
+    fs, new = _fs(spark, beside)
+    root, trash = _fs(spark, path)[1], _fs(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")[1]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folders = [s.getPath() for s in fs.globStatus(hadoop(new, "/".join(f"{k}=*" for k in keys))) or ()]
+    names = ["/".join(str(f.toString()).split("/")[-len(keys) :]) for f in folders]
+    gone = {"/".join(f"{k}={v}" for k, v in zip(keys, values, strict=True)) for values in touched or ()} - set(names)
+    fs.mkdirs(trash)
+    for n, name in enumerate([*names, *sorted(gone)]):
+        target = hadoop(root, name)
+        if fs.exists(target) and not fs.rename(target, hadoop(trash, str(n))):
+            raise OSError(f"can't move {name} of {path}")
+        if name not in gone:
+            fs.mkdirs(target.getParent())
+            if not fs.rename(hadoop(new, name), target):
+                raise OSError(f"can't place {name} in {path}")
+    fs.delete(trash, True)
+    fs.delete(new, True)
+
+
 def needs_compaction(df: DataFrame, limit: int = 10) -> bool:
     """Whether df's table has more files than limit; Spark has their list on the driver to plan a scan."""
     return len(df.inputFiles()) > limit

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,32 +53,11 @@ def coarser(rolled: DataFrame, width: str) -> DataFrame:
     ).withColumn("avg", F.col("sum") / F.col("count"))
 
 
-def pick_source(width: str, stored: tuple[str, ...] = ROLLUPS) -> str:
-    """The coarsest stored roll-up whose buckets make up those of a width, or 'raw'. Months and years aren't made of days here."""
-    if width.split()[1].rstrip("s") in ("month", "year"):
-        return "raw"
-    fits = [r for r in stored if interval(width) % interval(r) == timedelta(0)]
-    return max(fits, key=interval, default="raw")
-
-
-def from_rollups(rollups: dict[str, DataFrame], meas: DataFrame, start: datetime, end: datetime, series: str | None = None, width: str | None = None) -> DataFrame:
-    """What historical answers, from the stored roll-up that fits the width, if the range begins and ends with its buckets; else from raw rows.
-
-    rollups(bucket, type, sum, count, min, max) by width. count is that of the values that are not null.
-    """
-    check_range(start, end)
-    width = width or bucket_width(start, end)
-    source = pick_source(width, tuple(rollups))
-    zero = datetime(1970, 1, 1)
-    if source == "raw" or any((t - zero) % interval(source) != timedelta(0) for t in (start, end)):
-        return historical(meas, start, end, series, width)
-    rows = of_series(between_time(rollups[source], "bucket", start, end), series)
-    out = coarser(rows, width)
-    return out.select(F.col("bucket").alias("timestamp"), "type", F.col("avg").alias("value"), "min", "max", "count").orderBy("timestamp", "type")
-
-
 def refresh_rollup(existing: DataFrame, meas: DataFrame, start: datetime, end: datetime, width: str) -> DataFrame:
-    """existing with the buckets of [start, end) made anew; start and end are taken to be bounds of buckets."""
+    """existing with the buckets of [start, end) made anew; start and end must be bounds of buckets. RollupStore does it for what is stored."""
+    check_range(start, end)
+    if any((t - datetime(1970, 1, 1)) % interval(width) for t in (start, end)):
+        raise ValueError(f"start and end must be bounds of buckets of {width}")
     kept = existing.filter((F.col("bucket") < F.lit(start)) | (F.col("bucket") >= F.lit(end)))
     return kept.unionByName(rollup(between_time(meas, "time", start, end), width).select(*existing.columns))
 

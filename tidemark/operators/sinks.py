@@ -17,9 +17,12 @@ from .series import latest_per_key
 DAY = ["year", "month", "day"]
 
 
-def write_daily(df: DataFrame, path: str) -> None:
-    """Appends, one file to a day: rows of a day meet in a task before they are written."""
-    df.repartition(*DAY).write.mode("append").partitionBy(*DAY).parquet(path)
+def write_daily(df: DataFrame, path: str, rows: int | None = None) -> None:
+    """Appends by day. Rows of a day meet in a task before they are written, so a day is a file; a day larger than
+    spark.sql.adaptive.advisoryPartitionSizeInBytes is split over several tasks, a file each, and small days share a task. rows bounds the rows of a file.
+    """
+    writer = df.hint("rebalance", *DAY).write.mode("append").partitionBy(*DAY)
+    (writer.option("maxRecordsPerFile", rows) if rows else writer).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, keys: list[str]) -> None:

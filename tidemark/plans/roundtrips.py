@@ -17,6 +17,7 @@ from ..operators import aggregates as A
 from ..operators import filters as P
 from ..operators import joins as J
 from ..operators import maintenance as X
+from ..operators import rollups as R
 from ..operators import series as S
 from ..operators import sinks
 from ..session import scratch
@@ -176,18 +177,71 @@ _HOURLY = """SELECT time_bucket(INTERVAL '{width}', ts) AS timestamp, event_type
 
 
 def rolled_up(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    fine = stored(S.rollup(measurements(spark, d), "5 minutes"))
-    return {"5 minutes": fine, "1 hour": stored(S.coarser(fine, "1 hour")), "1 day": stored(S.coarser(fine, "1 day"))}
+    by_day = lambda df: stored(df.withColumn("day", F.to_date("bucket")).hint("rebalance", "day"), "day")
+    fine = by_day(R.moments(measurements(spark, d), "5 minutes"))
+    hours = by_day(R.coarser_moments(fine, "1 hour"))
+    return {"5 minutes": fine, "1 hour": hours, "1 day": by_day(R.coarser_moments(hours, "1 day"))}
 
 
 @query(_HOURLY.format(width="1 hour", start=START, end=END, more="AND event_type = 'view'"))
 def historical_hours_rolled_up(spark, d):
-    return rounded(S.from_rollups(rolled_up(spark, d), measurements(spark, d), START, END, "view", "1 hour"))
+    return rounded(R.from_rollups(rolled_up(spark, d), measurements(spark, d), START, END, "view", "1 hour"))
 
 
 @query(_HOURLY.format(width="1 day", start=START, end=END, more=""))
 def historical_days_rolled_up(spark, d):
-    return rounded(S.from_rollups(rolled_up(spark, d), measurements(spark, d), START, END))
+    return rounded(R.from_rollups(rolled_up(spark, d), measurements(spark, d), START, END))
+
+
+ODD_START, ODD_END = datetime(2024, 1, 5, 3, 17, 42), datetime(2024, 1, 19, 22, 41, 9)
+
+
+@query(_HOURLY.format(width="1 hour", start=ODD_START, end=ODD_END, more="").replace("count(value)", "count(*)"))
+def history_of_odd_hours(spark, d):
+    """Edges off the grid: raw rows up to the next 5 minutes, 5 minutes up to the next hour, then hours."""
+    return rounded(R.from_rollups(rolled_up(spark, d), measurements(spark, d), ODD_START, ODD_END, None, "1 hour"))
+
+
+@query(_HOURLY.format(width="1 month", start=ODD_START, end="2024-02-01 00:00:00.5", more="").replace("count(value)", "count(*)"))
+def history_of_odd_months(spark, d):
+    return rounded(R.from_rollups(rolled_up(spark, d), measurements(spark, d), ODD_START, datetime(2024, 2, 1, 0, 0, 0, 500_000), None, "1 month"))
+
+
+@query(f"""SELECT event_type AS type, round(avg(value) + 1e-9, 6) + 0.0 AS avg, min(value) AS min, max(value) AS max, round(stddev_samp(value) + 1e-9, 6) + 0.0 AS stddev, count(*) AS count
+    FROM events WHERE ts >= TIMESTAMP '{ODD_START}' AND ts < TIMESTAMP '{ODD_END}' GROUP BY ALL""")
+def stats_of_odd_range(spark, d):
+    """Deviations from the moments of roll-ups."""
+    return rounded(R.stats_from_rollups(rolled_up(spark, d), measurements(spark, d), ODD_START, ODD_END))
+
+
+@query("""WITH m AS (SELECT date_trunc('second', ts) AS time, event_type AS type, max(value) AS value FROM events GROUP BY ALL)
+    SELECT '{w}' AS width, time_bucket(INTERVAL '5 minutes', time) AS bucket, type, count(*) AS rows, round(sum(value), 4) + 0.0 AS sum, round(coalesce(stddev_pop(value), 0) + 1e-9, 6) + 0.0 AS std, min(value) AS min, max(value) AS max FROM m GROUP BY ALL
+    UNION ALL SELECT '1 hour', date_trunc('hour', time), type, count(*), round(sum(value), 4) + 0.0, round(coalesce(stddev_pop(value), 0) + 1e-9, 6) + 0.0, min(value), max(value) FROM m GROUP BY ALL
+    UNION ALL SELECT '1 day', date_trunc('day', time), type, count(*), round(sum(value), 4) + 0.0, round(coalesce(stddev_pop(value), 0) + 1e-9, 6) + 0.0, min(value), max(value) FROM m GROUP BY ALL""".replace("{w}", "5 minutes"))
+def rollups_refreshed(spark, d):
+    """Measurements come in three batches: the greatest values last and out of order, some rows twice. After each the dirty buckets that are closed are made anew."""
+    rows = measurements(spark, d).select(F.date_trunc("second", F.col("time").cast("timestamp")).alias("time"), "value", "type", "event_id")
+    root = scratch(spark)
+    store = R.RollupStore(spark, f"{root}/rolled")
+    late = F.col("value") > 50
+    batches = (rows.filter(~late & (F.dayofmonth("time") < 15)), rows.filter(~late), rows.filter(late))
+    for batch, now in zip(batches, (datetime(2024, 1, 15), datetime(2024, 1, 31), datetime(2025, 1, 1)), strict=True):
+        # of a batch and of what is stored the greatest value of a time and type counts, so late rows are those that win
+        sinks.upsert_measurements(batch.drop("event_id"), f"{root}/raw")
+        store.note(batch)
+        store.refresh(sources.read_measurements(spark, f"{root}/raw"), now)
+    out = [df.select(F.lit(w).alias("width"), "bucket", "type", "rows", F.round("sum", 4) + F.lit(0.0), F.round(F.sqrt(F.col("m2") / F.col("count")) + 1e-9, 6) + F.lit(0.0), "min", "max").toDF("width", "bucket", "type", "rows", "sum", "std", "min", "max") for w, df in store.rollups().items()]
+    return ntz(out[0].unionByName(out[1]).unionByName(out[2]), "bucket")
+
+
+@query(f"""SELECT dk_area, CAST(count(DISTINCT user_id) AS BIGINT) AS n_sources, 'odd hours' AS span FROM (SELECT *, {AREA_SQL} AS dk_area FROM events) WHERE dk_area IS NOT NULL AND ts >= TIMESTAMP '2024-01-05 03:00:00' AND ts < TIMESTAMP '2024-01-05 14:00:00' GROUP BY ALL
+    UNION ALL SELECT dk_area, count(DISTINCT user_id), 'all' FROM (SELECT *, {AREA_SQL} AS dk_area FROM events) WHERE dk_area IS NOT NULL GROUP BY ALL""")
+def distinct_sources_of_spans(spark, d):
+    """From hourly bitmaps: a span of hours, and all, by way of days."""
+    obs = table(spark, d, "events").select("user_id", "ts", area().alias("dk_area")).filter("dk_area is not null")
+    bits = stored(R.source_bits(obs, "user_id", ["dk_area"], "1 hour"))
+    some = R.distinct_sources(bits, ["dk_area"], datetime(2024, 1, 5, 3), datetime(2024, 1, 5, 14)).withColumn("span", F.lit("odd hours"))
+    return some.unionByName(R.distinct_sources(R.coarser_bits(bits, ["dk_area"], "1 day"), ["dk_area"]).withColumn("span", F.lit("all")))
 
 
 @query("""SELECT ts AS time, value, type FROM (SELECT *, CASE event_type WHEN 'error' THEN 'actual' WHEN 'view' THEN 'predicted' END AS type FROM events)
