@@ -6,7 +6,7 @@ Such rows can be merged, so coarser buckets, whole ranges and deviations come fr
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, time, timedelta
 from functools import reduce
 from operator import or_
 
@@ -134,6 +134,18 @@ def stats_from_rollups(rollups: dict[str, DataFrame], meas: DataFrame, start: da
     return out.select("type", (F.col("sum") / F.col("count")).alias("avg"), "min", "max", deviation.alias("stddev"), F.col("rows").alias("count"))
 
 
+def spans(days: list[date]) -> list[tuple[datetime, datetime]]:
+    """Sorted days as half-open ranges, those that follow each other as one."""
+    out: list[tuple[datetime, datetime]] = []
+    for d in days:
+        lo = datetime.combine(d, time.min)
+        if out and out[-1][1] == lo:
+            out[-1] = (out[-1][0], lo + timedelta(days=1))
+        else:
+            out.append((lo, lo + timedelta(days=1)))
+    return out
+
+
 class RollupStore:
     """Roll-ups stored by day, and the set of their dirty buckets.
 
@@ -194,11 +206,11 @@ class RollupStore:
                 continue
             closed = F.col("bucket") <= F.lit(now - interval(width) - interval(self.open_for.get(width, "0 seconds")))
             ready = dirty.filter(closed)
-            days = sorted(r[0] for r in ready.select(F.to_date("bucket")).distinct().collect())  # a row for each day
+            counts = dict(ready.groupBy(F.to_date("bucket")).count().collect())  # a row for each day
+            days = sorted(counts)
             if not days:
                 continue
-            done[width] = ready.count()
-            span = [(datetime.combine(d, datetime.min.time()), datetime.combine(d, datetime.min.time()) + timedelta(days=1)) for d in days]
+            done[width], span = sum(counts.values()), spans(days)
             source = within(meas, "time", span) if k == 0 else within(self.read(self.widths[k - 1]), "bucket", span)
             rows = source.withColumn("_b", time_bucket("time" if k == 0 else "bucket", width))
             mark = ready.select(F.col("bucket").alias("_m"), F.col("type").alias("_t"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cyclic, date_of, hour_of, is_weekend, weekday
 from ..operators.joins import HOUR_KEYS, with_load_features
-from ..operators.windows import row_lags, time_lags, time_trailing_mean, trailing_mean
+from ..operators.windows import lags_and_means, time_lags, time_trailing_mean
 
 LOAD = "consumption_mwh_area"
 
@@ -27,8 +27,7 @@ def load_features(load: DataFrame, by_time: bool = False) -> DataFrame:
         df = time_lags(df, LOAD, [72, 168])
         df = time_trailing_mean(time_trailing_mean(df, LOAD, 72, "load_mean_72h"), LOAD, 168, "load_mean_7d")
     else:
-        df = row_lags(df, LOAD, [72, 168])
-        df = trailing_mean(trailing_mean(df, LOAD, 72, "load_mean_72h"), LOAD, 168, "load_mean_7d")
+        df = lags_and_means(df, LOAD, [72, 168], {"load_mean_72h": 72, "load_mean_7d": 168})
     return df.drop("ts")
 
 

@@ -29,6 +29,8 @@ from . import features, model
 PARAMS = ("click", "error", "purchase", "signup", "view")
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 SPLIT_DAYS = (20, 25)
+#: So that the month of hours that the tables have is several slices.
+SLICE_ROWS = 250
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -151,14 +153,14 @@ def consumption_hourly(spark, d):
 @query(f"""WITH {LOAD_SQL} SELECT dk_area, ts, round(consumption_mwh_area + 1e-9, 6) + 0.0 AS consumption_mwh_area, round(lag(consumption_mwh_area, 72) OVER w + 1e-9, 6) + 0.0 AS load_lag_72,
     round(lag(consumption_mwh_area, 168) OVER w + 1e-9, 6) + 0.0 AS load_lag_168 FROM load WINDOW w AS (PARTITION BY dk_area ORDER BY ts)""")
 def load_lags(spark, d):
-    return rounded(W.row_lags(load_ts(spark, d), features.LOAD, [72, 168]))
+    return rounded(W.row_lags(stored(load_ts(spark, d)), features.LOAD, [72, 168], slice_rows=SLICE_ROWS))
 
 
 @query(f"""WITH {LOAD_SQL} SELECT dk_area, ts, round(consumption_mwh_area + 1e-9, 6) + 0.0 AS consumption_mwh_area,
     round(avg(consumption_mwh_area) OVER (PARTITION BY dk_area ORDER BY ts ROWS BETWEEN 72 PRECEDING AND 1 PRECEDING) + 1e-9, 6) + 0.0 AS load_mean_72h,
     round(avg(consumption_mwh_area) OVER (PARTITION BY dk_area ORDER BY ts ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) + 1e-9, 6) + 0.0 AS load_mean_7d FROM load""")
 def load_trailing_means(spark, d):
-    return rounded(W.trailing_mean(W.trailing_mean(load_ts(spark, d), features.LOAD, 72, "load_mean_72h"), features.LOAD, 168, "load_mean_7d"))
+    return rounded(W.trailing_means(stored(load_ts(spark, d)), features.LOAD, {"load_mean_72h": 72, "load_mean_7d": 168}, slice_rows=SLICE_ROWS))
 
 
 @query(f"""WITH {LOAD_SQL} SELECT a.dk_area, a.ts, round(a.consumption_mwh_area + 1e-9, 6) + 0.0 AS consumption_mwh_area, round(b.consumption_mwh_area + 1e-9, 6) + 0.0 AS load_lag_72,
@@ -167,7 +169,7 @@ def load_trailing_means(spark, d):
     FROM load a LEFT JOIN load b ON b.dk_area = a.dk_area AND b.ts = a.ts - INTERVAL 72 HOUR LEFT JOIN load c ON c.dk_area = a.dk_area AND c.ts = a.ts - INTERVAL 168 HOUR""")
 def load_time_lags(spark, d):
     lagged = W.time_lags(load_ts(spark, d), features.LOAD, [72, 168])
-    return rounded(W.time_trailing_mean(lagged, features.LOAD, 72, "load_mean_72h"))
+    return rounded(W.time_trailing_mean(lagged, features.LOAD, 72, "load_mean_72h", span="10 days"))
 
 
 _ROLL = ", ".join(
@@ -180,7 +182,7 @@ _ROLL = ", ".join(
     round(lag(consumption_mwh_area, 1) OVER w + 1e-9, 6) + 0.0 AS consumption_mwh_area_lag_1, round(lag(consumption_mwh_area, 2) OVER w + 1e-9, 6) + 0.0 AS consumption_mwh_area_lag_2,
     round(lag(consumption_mwh_area, 24) OVER w + 1e-9, 6) + 0.0 AS consumption_mwh_area_lag_24, {_ROLL} FROM load WINDOW w AS (PARTITION BY dk_area ORDER BY ts)""")
 def rolling_stats(spark, d):
-    return rounded(W.rolling_stats(W.lag_features(load_ts(spark, d), features.LOAD), features.LOAD))
+    return rounded(W.row_features(stored(load_ts(spark, d)), features.LOAD, slice_rows=SLICE_ROWS))
 
 
 _CALENDAR = """round(sin(hour * (2 * pi() / 24)) + 1e-9, 6) + 0.0 AS hour_sin, round(cos(hour * (2 * pi() / 24)) + 1e-9, 6) + 0.0 AS hour_cos,
