@@ -35,12 +35,18 @@ def overwrite_table(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], partitions: list[str]) -> None:
-    """Appends the rows whose key isn't stored yet. Of the store only df's partitions are read; partitions must be part of the key."""
+    """Appends the rows whose key isn't stored yet, one for each key. Of the store only df's partitions are read; partitions must be part of the key."""
     spark = df.sparkSession
-    if exists(spark, path):
+    df = df.dropDuplicates(keys)
+    if not exists(spark, path):
+        append_table(df, path, partitions)
+        return
+    df.persist()  # for its partitions and its rows
+    try:
         stored = spark.read.parquet(path)
-        df = new_only(df, partitions_of(stored, df, partitions) if partitions else stored, keys)
-    append_table(df, path, partitions)
+        append_table(new_only(df, partitions_of(stored, df, partitions) if partitions else stored, keys), path, partitions)
+    finally:
+        df.unpersist()
 
 
 def log_predictions(df: DataFrame, path: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as f
 from .. import sources, streaming
+from ..streaming import ledger, state
 from ..fixed import WEATHER_FEATURES
 from ..operators import aggregates as A
 from ..operators import filters as P
@@ -428,3 +429,37 @@ def decoded_messages(spark, d):
     rows = table(spark, d, "events").select(F.col("user_id").alias("station"), f.iso_text("ts").alias("time"), "value")
     sent = sinks.to_messages(rows, ["station", "time"]).withColumn("value", F.col("value").cast("binary"))
     return sources.decode_value(sent, "station bigint, time string, value double").select("key", "value")
+
+
+LIVE_NOW = datetime(2024, 1, 31)
+
+
+@query("""WITH m AS (SELECT date_trunc('hour', ts) AS timestamp, CASE event_type WHEN 'error' THEN 'actual' ELSE 'predicted' END AS type, value, event_id,
+        CASE WHEN user_id % 5 < 3 THEN 'DK1' WHEN user_id % 5 = 3 THEN 'DK2' END AS dk_area FROM events WHERE event_type IN ('error', 'view')),
+    p AS (SELECT type, timestamp, round(sum(value) + 1e-9, 6) + 0.0 AS value, arg_min_null(dk_area, event_id) AS dk_area, count(*) AS n FROM m GROUP BY ALL)
+    SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY type ORDER BY timestamp DESC) <= 100""")
+def live_newest(spark, d):
+    """A stream in several batches, by event_id, so that points change late: the newest 100 of either series, with sums over all batches and the area that came first."""
+    kind = F.when(F.col("event_type") == "error", "actual").otherwise("predicted")
+    rows = table(spark, d, "events").filter("event_type in ('error', 'view')").select(
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("timestamp"), "value", F.lit(0.0).alias("production"), F.lit(0.0).alias("net_balance"), area().alias("dk_area"), kind.alias("type"), F.col("event_id").cast("long").alias("event_id")
+    )
+    bounds = rows.agg(F.expr("percentile_approx(event_id, array(0.4, 0.7))")).first()[0]
+    batches = rows.filter(F.col("event_id") <= bounds[0]), rows.filter(F.col("event_id").between(bounds[0] + 1, bounds[1])), rows.filter(F.col("event_id") > bounds[1])
+    root = scratch(spark)
+    out = state.live_points(in_files(*batches), "event_id", shards=2, keep="400 days", now=LIVE_NOW)
+    state.take_all(out.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("append").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/state"))
+    newest = state.newest_live(spark.read.schema(out.schema).parquet(f"{root}/out"))
+    return rounded(ntz(newest.select("type", "timestamp", "value", "dk_area", "n"), "timestamp"))
+
+
+@query(f"WITH {BUCKETS_SQL} SELECT dk_area, year, month, day, hour, minute_bucket, click FROM buckets")
+def ledger_once(spark, d):
+    """A stream of batches, each with rows twice, whose checkpoint is lost: the batches come again and are known by the ledger."""
+    path, rows = scratch(spark), stored(buckets(spark, d))
+    batches = [rows.filter(F.col("day") % 2 == k) for k in range(2)]
+    for lost in ("a", "b"):
+        stream = in_files(*[b.unionByName(b) for b in batches])
+        writer = stream.writeStream.foreachBatch(ledger.write_once(path, J.BUCKET_KEYS, sinks.DAY)).option("checkpointLocation", f"{path}-{lost}")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return rounded(spark.read.parquet(path)).select(*J.BUCKET_KEYS, "click")

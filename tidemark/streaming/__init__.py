@@ -13,7 +13,7 @@ from ..functions import circular_mean, first_truthy, parse_iso, to_number
 from ..operators.filters import newer_than
 from ..operators.joins import BUCKET_KEYS, small
 from ..operators.series import latest_points, newest
-from ..operators.sinks import append_new
+from ..operators.sinks import DAY, append_new
 
 
 def bucket_stream(obs: DataFrame, params: tuple[str, ...], width: str = "10 minutes", delay: str = "20 minutes", ts: str = "ts") -> DataFrame:
@@ -55,14 +55,17 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str = "60 seconds",
 def write_new(path: str, keys: list[str] | None = None, partitions: list[str] | None = None, fresh: str | None = None, ts: str = "bucket", now: datetime | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that appends the rows whose key isn't stored, so a batch that runs twice adds nothing.
 
-    Of the store only the batch's partitions are read. fresh leaves out rows older than that span.
+    Of the store only the batch's partitions are read, by year, month and day unless given. fresh leaves out rows older than that span.
     """
     keys = keys or BUCKET_KEYS
+    partitions = DAY if partitions is None else partitions
+    if not set(partitions) <= set(keys):
+        raise ValueError("partitions must be part of the key")
 
     def write(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
-            append_new(newer_than(batch, ts, fresh, now) if fresh else batch, path, keys, partitions or [])
+            append_new(newer_than(batch, ts, fresh, now) if fresh else batch, path, keys, partitions)
         finally:
             batch.unpersist()
 
