@@ -73,7 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; of the stages' tables only the one that they read stays, none if a stage fails."""
     docs, tables = table(spark, sf_dir, "documents"), Scratch(spark)
-    for name, stage in STAGES[:-1]:
-        docs = tables.keep(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    try:
+        for name, stage in STAGES[:-1]:
+            docs = tables.keep(stage(spark, docs, sf_dir), name)
+            tables.drop(keep=(name,))
+        return STAGES[-1][1](spark, docs, sf_dir)
+    except BaseException:
+        tables.drop()
+        raise

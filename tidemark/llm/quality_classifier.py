@@ -98,13 +98,22 @@ def gradient(w: np.ndarray, cut: np.ndarray, x: np.ndarray, y: np.ndarray, weigh
     return float(-(weight * np.log(p)).sum()), (x.T @ gz.astype(x.dtype)).astype(float), gcut[1:-1]
 
 
-def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings()) -> Ordinal:
-    """Adam on standardised features; the thresholds stay in order, as the first and the logs of the gaps are what moves."""
+def column_deviation(x: np.ndarray, at_once: int = 256) -> np.ndarray:
+    """x.std(0), some columns at a time."""
+    return np.concatenate([x[:, i : i + at_once].std(0) for i in range(0, x.shape[1], at_once)])
+
+
+def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, s: Settings = Settings(), own: bool = False) -> Ordinal:
+    """Adam on standardised features; the thresholds stay in order, as the first and the logs of the gaps are what moves.
+
+    With own x itself is standardised, and no copy made.
+    """
     grades = len(share)
     if not len(y):
         return Ordinal(np.zeros(x.shape[1], np.float32), np.arange(grades - 1) - 2.0)
-    mean, spread = x.mean(0), x.std(0) + 1e-6 + 0.02 * x.std(0).max()
-    x = x - mean  # one copy, changed in place
+    mean, deviation = x.mean(0), column_deviation(x)
+    spread = deviation + 1e-6 + 0.02 * deviation.max()
+    x = np.subtract(x, mean, out=x if own else None)
     x /= spread
     count = np.bincount(y, minlength=grades)
     weight = (share / np.maximum(count, 1))[y]
@@ -150,10 +159,11 @@ def train(docs: DataFrame, graded: DataFrame, grades: int = GRADES, s: Settings
     drawn = drawn_by_hash(known, "grade", dict.fromkeys(range(grades), s.most_per_grade))  # grades * most_per_grade rows at most
     texts = one_text(docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_semi"))
     rows = sorted(feature_rows(texts).join(F.broadcast(drawn), "doc_id").select("doc_id", "grade", "at", "value").collect())
-    x = np.zeros((len(rows), ROWS), np.float32)
+    x, y = np.zeros((len(rows), ROWS), np.float32), np.array([r["grade"] for r in rows], np.int64)
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["value"], "<f4")
-    return fit(x, np.array([r["grade"] for r in rows], np.int64), share, s)
+    del rows
+    return fit(x, y, share, s, own=True)
 
 
 def _scored(docs: DataFrame, model: Ordinal, keep: list[str]) -> DataFrame:
