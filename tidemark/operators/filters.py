@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +67,14 @@ def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return ensure_columns(df, types).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
 
 
+def any_of(conditions: list[Column]) -> Column:
+    """Whether one of the conditions holds, as a flat tree, however many there are."""
+    if not conditions:
+        return F.lit(False)
+    half = len(conditions) // 2
+    return conditions[0] if not half else any_of(conditions[:half]) | any_of(conditions[half:])
+
+
 def partitions_of(store: DataFrame, batch: DataFrame, keys: list[str], most: int = 1000) -> DataFrame:
     """The partitions of store that batch has rows for.
 
@@ -76,8 +84,16 @@ def partitions_of(store: DataFrame, batch: DataFrame, keys: list[str], most: int
     rows = wanted.limit(most + 1).collect()
     if len(rows) > most:
         return store.join(wanted, keys, "left_semi")
-    named = [reduce(and_, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys]) for r in rows]
-    return store.filter(reduce(or_, named, F.lit(False)))
+    last: dict[tuple, list] = {}  # values of the last key by those of the others
+    for r in rows:
+        last.setdefault(tuple(r)[:-1], []).append(r[-1])
+    named = []
+    for first, values in last.items():
+        known = [v for v in values if v is not None]
+        c = F.col(keys[-1]).isin(*known) if known else F.lit(False)
+        c = c | F.col(keys[-1]).isNull() if None in values else c
+        named.append(reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, first)], c))
+    return store.filter(any_of(named))
 
 
 def check_range(start: datetime | None, end: datetime | None) -> None:

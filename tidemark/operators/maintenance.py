@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .filters import interval
 
@@ -68,6 +71,26 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, keys: list
     fs.delete(new, True)
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file; it is there whole or not at all."""
+    fs, p = _fs(spark, path)
+    part = _fs(spark, path + ".part")[1]
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"can't write {path}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def needs_compaction(df: DataFrame, limit: int = 10) -> bool:
     """Whether df's table has more files than limit; Spark has their list on the driver to plan a scan."""
     return len(df.inputFiles()) > limit
@@ -97,10 +120,85 @@ def compact(spark: SparkSession, path: str, files: int = 10, keys: list[str] | N
     return True
 
 
+def small_groups(spark: SparkSession, path: str, target: int, small: float) -> DataFrame:
+    """(folder, g, files, bytes): the small files of each folder, packed in the order of their names into groups of about target bytes; groups of one are left out.
+
+    The files are listed by tasks (their contents aren't read), so the driver needn't hold the list of a table's files.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    files = files.filter(F.col("length") < int(target * small)).withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    before = F.sum("length").over(Window.partitionBy("folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
+    packed = files.withColumn("g", F.floor(F.coalesce(before, F.lit(0)) / target))
+    return packed.groupBy("folder", "g").agg(F.sort_array(F.collect_list("path")).alias("files"), F.sum("length").alias("bytes")).filter(F.size("files") > 1)
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Does what is left of the intent of a compaction: new files to their folders, then old ones go."""
+    intent, staging = f"{path}/_compaction.intent", f"{path}/_compaction"
+    if exists(spark, intent):
+        fs, _ = _fs(spark, path)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        todo = json.loads(_read_text(spark, intent))
+        for a, b in todo["moves"]:
+            if fs.exists(hadoop(a)) and not fs.rename(hadoop(a), hadoop(b)):
+                raise OSError(f"can't move {a}")
+        for old in todo["old"]:
+            fs.delete(hadoop(old), False)
+        fs.delete(hadoop(intent), False)
+    remove(spark, staging)
+
+
+def compact_small(spark: SparkSession, path: str, target: int = 128 << 20, small: float = 0.75, groups: int = 100) -> int:
+    """Joins the small files of a table, of any partitions, into files of about target bytes; how many files went.
+
+    A file of small * target bytes or more is not touched. Each group of files goes to one task and becomes one file in its folder, so a large partition takes many
+    tasks. So many groups are rewritten at a time; then rows are counted, an intent is noted, new files are moved in and old ones deleted. A run that dies after
+    the intent is finished by the next. Nobody should read the table between the moves and the deletes.
+    """
+    path = path.rstrip("/")
+    _finish(spark, path)
+    table, gone = spark.read.parquet(path), 0
+    folders = {k for f in table.inputFiles()[:1] for k in (x.partition("=")[0] for x in f.split("/")[:-1] if "=" in x)}
+    schema = StructType([f for f in table.schema if f.name not in folders])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    waiting: list = []
+
+    def rewrite() -> int:
+        if not waiting:
+            return 0
+        staging = f"{path}/_compaction"
+        parts = [spark.read.schema(schema).parquet(*r["files"]).withColumn("joined_group", F.lit(i)) for i, r in enumerate(waiting)]
+        out = parts[0]
+        for x in parts[1:]:
+            out = out.union(x)
+        # a task to a group; which group a file is of is known by its folder
+        out.repartitionById(len(waiting), F.col("joined_group")).write.partitionBy("joined_group").parquet(staging)
+        fs, root = _fs(spark, staging)
+        moves = []
+        for status in fs.globStatus(hadoop(root, "joined_group=*/part-*")) or ():
+            p = status.getPath()
+            i = int(p.getParent().getName().partition("=")[2])
+            moves.append((p.toString(), f"{waiting[i]['folder']}/joined-{uuid.uuid4().hex}.parquet"))
+        old = [f for r in waiting for f in r["files"]]
+        if spark.read.schema(schema).parquet(staging).count() != spark.read.schema(schema).parquet(*old).count():
+            fs.delete(hadoop(staging), True)
+            raise RuntimeError(f"joined files of {path} have another number of rows; the old ones stay")
+        _write_text(spark, f"{path}/_compaction.intent", json.dumps({"moves": moves, "old": old}))
+        _finish(spark, path)
+        waiting.clear()
+        return len(old)
+
+    for row in small_groups(spark, path, target, small).orderBy("folder", "g").toLocalIterator():
+        waiting.append(row)
+        if len(waiting) >= groups:
+            gone += rewrite()
+    return gone + rewrite()
+
+
 def rewrite_by(df: DataFrame, keys: list[str], path: str) -> None:
     """Writes df to a new path by keys, which come last."""
     rest = [c for c in df.columns if c not in keys]
-    df.select(*rest, *keys).repartition(*keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    df.select(*rest, *keys).hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def expire(spark: SparkSession, path: str, span: str = "1 year", now: datetime | None = None, day: str = "day") -> int:

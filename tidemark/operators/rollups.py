@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bucket_width, named_range, time_bucket
-from .filters import check_range, interval
+from .filters import any_of, check_range, interval
 from .maintenance import exists, remove, replace_partitions, swap
 from .series import ROLLUPS, of_series
 
@@ -93,7 +92,7 @@ def within(df: DataFrame, ts: str, ranges: list[tuple[datetime, datetime]]) -> D
         c = (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))
         return c & F.col("day").between(F.lit(lo.date()), F.lit((hi - timedelta(microseconds=1)).date())) if dict(df.dtypes).get("day") == "date" else c
 
-    return df.filter(reduce(or_, [one(*r) for r in ranges], F.lit(False)))
+    return df.filter(any_of([one(*r) for r in ranges]))
 
 
 def parts(rollups: dict[str, DataFrame], meas: DataFrame, start: datetime, end: datetime, series: str | None, width: str | None) -> DataFrame:

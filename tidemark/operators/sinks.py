@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import finite, iso_text, message_key
 from .filters import partitions_of
-from .joins import BUCKET_KEYS, new_only, small
-from .maintenance import exists, swap
-from .series import latest_per_key
+from .joins import BUCKET_KEYS, new_only
+from .maintenance import _read_text, _write_text, exists, replace_partitions
 
 DAY = ["year", "month", "day"]
 
@@ -78,25 +76,35 @@ def replay(df: DataFrame, columns: list[str], mapping: dict[str, str] | None = N
     return to_messages(df.select(*out), columns[:2])
 
 
-def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+SLOTS = 4
+
+
+def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = (), slots: int = SLOTS) -> None:
     """Merges a batch into stored measurements, one row for each (time, type): the batch's wins, within it the last by order (else by all other columns).
 
-    Stored by day; only the days of the batch are read and rewritten, into a new folder first, as Spark can't write
-    where it reads.
+    Stored by day and by slot, a hash of (time, type); only the slots that the batch has rows for are read and rewritten, so ten rows rewrite ten at most. A store keeps
+    the number of slots that it began with; one that is by day alone stays so.
     """
-    spark = batch.sparkSession
-    fresh = latest_per_key(batch, order=order).withColumn("day", F.to_date("time"))
-    if not exists(spark, path):
-        overwrite_table(fresh, path, ["day"])
+    spark, keys = batch.sparkSession, ["time", "type"]
+    there, layout = exists(spark, path), ["day", "slot"]
+    if there:
+        stored = spark.read.parquet(path)
+        layout = [k for k in layout if k in stored.columns]
+        slots = int(_read_text(spark, f"{path}/_slots")) if "slot" in layout else 0
+    rest = [c for c in batch.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*(order or rest))) if rest else None
+    fresh = batch.groupBy(*keys).agg(last.alias("_row")).select(*keys, "_row.*") if rest else batch.select(*keys).distinct()
+    fresh = fresh.select(*batch.columns, F.to_date("time").alias("day"), *([F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int").alias("slot")] if "slot" in layout else []))
+    if not there:
+        overwrite_table(fresh.hint("rebalance", *layout), path, layout)
+        _write_text(spark, f"{path}/_slots", str(slots))
         return
-    stored = spark.read.parquet(path)
-    days = fresh.select("day").distinct()
-    old = stored.join(small(days), "day", "left_semi")
-    kept = new_only(old, fresh, ["time", "type"]).select(*fresh.columns)
-    beside = f"{path.rstrip('/')}.merging-{uuid.uuid4().hex}"
-    kept.unionByName(fresh).write.partitionBy("day").parquet(beside)
-    overwrite_table(spark.read.parquet(beside), path, ["day"])
-    swap(spark, beside, None)
+    fresh.persist()  # for its slots and its rows
+    try:
+        kept = new_only(partitions_of(stored, fresh, layout), fresh, keys).select(*fresh.columns)
+        replace_partitions(spark, kept.unionByName(fresh), path, layout)
+    finally:
+        fresh.unpersist()
 
 
 def foreach_upsert(path: str, order: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:

@@ -463,3 +463,17 @@ def ledger_once(spark, d):
         writer = stream.writeStream.foreachBatch(ledger.write_once(path, J.BUCKET_KEYS, sinks.DAY)).option("checkpointLocation", f"{path}-{lost}")
         writer.trigger(availableNow=True).start().awaitTermination()
     return rounded(spark.read.parquet(path)).select(*J.BUCKET_KEYS, "click")
+
+
+@query("SELECT CAST(day(ts) AS INTEGER) AS day, count(*) AS n, count(DISTINCT event_id) AS n_events, round(sum(value) + 1e-9, 4) + 0.0 AS total FROM events GROUP BY ALL")
+def compact_by_size(spark, d):
+    """Files of all sizes in days: the small ones are joined, each in its day, and a second run finds none."""
+    path = scratch(spark)
+    rows = table(spark, d, "events").withColumn("day", F.day("ts"))
+    for part in range(2):
+        sinks.append_table(rows.filter(F.col("event_id") % 2 == part).repartition(3), path, ["day"])
+    X.compact_small(spark, path)
+    if X.compact_small(spark, path):
+        raise RuntimeError("small files are left")
+    total = (F.round(F.sum("value") + 1e-9, 4) + F.lit(0.0)).alias("total")
+    return spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_events"), total)

@@ -8,27 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.maintenance import _fs, exists, remove
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small file; it is there whole or not at all."""
-    fs, p = _fs(spark, path)
-    part = _fs(spark, path + ".part")[1]
-    out = fs.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if not fs.rename(part, p):
-        raise OSError(f"can't write {path}")
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
-    finally:
-        stream.close()
+from ..operators.maintenance import _fs, _read_text, _write_text, exists, remove
 
 
 class Ledger:
