@@ -130,7 +130,7 @@ def test_stream_into_the_ledger(spark, folder):
 
 def test_write_new_reads_the_days_of_the_batch_only(spark, folder):
     with pytest.raises(ValueError):
-        T.write_new(folder, ["dk_area"])
+        T.write_new(folder, ["dk_area"], ["day"])
     write = T.write_new(folder, KEYS)
     for rows in ([0, 1, 1], [1, 2]):
         write(batch_of(spark, rows), 0)

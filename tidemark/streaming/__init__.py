@@ -55,10 +55,12 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str = "60 seconds",
 def write_new(path: str, keys: list[str] | None = None, partitions: list[str] | None = None, fresh: str | None = None, ts: str = "bucket", now: datetime | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that appends the rows whose key isn't stored, so a batch that runs twice adds nothing.
 
-    Of the store only the batch's partitions are read, by year, month and day unless given. fresh leaves out rows older than that span.
+    Of the store only the batch's partitions are read: those given, else year, month and day where they are part of the key. Only a key without
+    them is looked up in the whole store. fresh leaves out rows older than that span.
     """
     keys = keys or BUCKET_KEYS
-    partitions = DAY if partitions is None else partitions
+    if partitions is None:
+        partitions = DAY if set(DAY) <= set(keys) else []
     if not set(partitions) <= set(keys):
         raise ValueError("partitions must be part of the key")
 
