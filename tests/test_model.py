@@ -69,3 +69,26 @@ def test_messages(spark):
     assert len(got) == 1 and got[0].key == "DK_2024-01-01 00:00:00"
     assert got[0].value == '{"timestamp":"2024-01-01T00:00:00Z","dk_area":"DK","predictions":{"consumption_mwh":3.0,"production_mwh":0.0,"net_balance_mwh":0.0}}'
     assert "minute_bucket" in BUCKET_KEYS
+
+
+def test_tune_by_time(spark):
+    """The newest fifth decides; a load that follows the hour takes the deeper trees."""
+    df = frame(spark, 400).withColumn("consumption_mwh_area", F.col("hour").cast("double"))
+    best = model.tune(df, "consumption_mwh_area", ["hour"], depths=(1, 4), rounds=(2,), by="ts")
+    assert best.stages[-1].trees[0].depth == 4 and best.transform(df).count() == 400
+
+
+def test_learned(spark):
+    df = spark.createDataFrame([(1.0, 2, 5.0), (None, 4, 6.0), (float("nan"), 6, 7.0), (3.0, 8, 8.0)], "x double, month int, consumption_mwh_area double")
+    got = {r.feature: r for r in model.learned(model.fit_load_model(df, weather=("x",), calendar=("month",), trees=1, depth=1)).collect()}
+    assert got["x"].fill == 2.0 and got["x"].mean == 2.0 and got["x"].deviation == pytest.approx((2 / 3) ** 0.5)
+    assert got["month"].fill is None and got["month"].mean == 5.0
+
+
+def test_errors(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 2.0), (None, 1.0)], "y double, prediction double")
+    got = model.evaluate(df, "y")
+    assert got == pytest.approx({"rmse": (10 / 3) ** 0.5, "mae": 4 / 3, "r2": 1 - 10 / 8})
+    assert all(v != v for v in model.evaluate(df.limit(0), "y").values())
+    same = model.evaluate(df.filter("y = 3"), "y")
+    assert same["rmse"] == 0.0 and same["r2"] != same["r2"]

@@ -68,21 +68,38 @@ def _as_doubles(df: DataFrame, features: list[str]) -> DataFrame:
     return df.withColumns({f: F.col(f).cast("double") for f in features})
 
 
-def fit_load_model(train: DataFrame, label: str = LOAD, weather: tuple[str, ...] = WEATHER_FEATURES, calendar: tuple[str, ...] = CALENDAR_FEATURES, trees: int = 20, depth: int = 6, seed: int = 42) -> PipelineModel:
-    """Mean imputation of the weather features, assembly, scaling and a random forest. Features without a single value are left out."""
+def fit_load_model(train: DataFrame, label: str = LOAD, weather: tuple[str, ...] = WEATHER_FEATURES, calendar: tuple[str, ...] = CALENDAR_FEATURES, trees: int = 20, depth: int = 6, seed: int = 42, bootstrap: bool = True) -> PipelineModel:
+    """Mean imputation of the weather features, assembly, scaling and a random forest. Features without a single value are left out.
+
+    Without bootstrap each tree sees all rows.
+    """
     impute = usable_features(train, list(weather))
     features = impute + list(calendar)
-    forest = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
+    forest = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, bootstrap=bootstrap)
     return stages(features, forest, impute).fit(_as_doubles(train, features))
 
 
-def tune(train: DataFrame, label: str, features: list[str], depths: tuple[int, ...] = (3, 5), rounds: tuple[int, ...] = (10, 20), seed: int = 42) -> PipelineModel:
-    """Gradient boosting, its depth and rounds chosen on a fifth of the rows."""
+def tune(train: DataFrame, label: str, features: list[str], depths: tuple[int, ...] = (3, 5), rounds: tuple[int, ...] = (10, 20), seed: int = 42, by: str | None = None) -> PipelineModel:
+    """Gradient boosting, its depth and rounds chosen on a fifth of the rows: at random or, with a time column by, the newest, so that no validation row lies between rows learned from."""
     impute = usable_features(train, features)
     gbt = GBTRegressor(featuresCol="features", labelCol=label, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.maxIter, list(rounds)).build()
-    split = TrainValidationSplit(estimator=stages(impute, gbt, impute), estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=label), trainRatio=0.8, seed=seed)
-    return split.fit(_as_doubles(train, impute)).bestModel
+    pipeline, judge, train = stages(impute, gbt, impute), RegressionEvaluator(labelCol=label), _as_doubles(train, impute)
+    if by is None:
+        return TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid, evaluator=judge, trainRatio=0.8, seed=seed).fit(train).bestModel
+    older, new, newest = fraction_split(train, by, (0.8, 0.1, 0.1))
+    newest = new.unionByName(newest)
+    errors = [judge.evaluate(pipeline.fit(older, chosen).transform(newest)) for chosen in grid]
+    return pipeline.fit(train, grid[errors.index(min(errors))])
+
+
+def learned(model: PipelineModel) -> DataFrame:
+    """(feature, fill, mean, deviation) of a fitted pipeline: what stands for a missing value (null: nothing does), and what the scaler takes off and divides by."""
+    imputer, assembler, scaler = model.stages[:3]
+    names = {o: i for i, o in zip(imputer.getInputCols(), imputer.getOutputCols(), strict=True)}
+    fills = imputer.surrogateDF.first().asDict()  # one row
+    rows = [(names.get(c, c), fills.get(names.get(c)), float(m), float(d)) for c, m, d in zip(assembler.getInputCols(), scaler.mean, scaler.std, strict=True)]
+    return imputer.surrogateDF.sparkSession.createDataFrame(rows, "feature string, fill double, mean double, deviation double")
 
 
 def score(model: PipelineModel, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -92,8 +109,12 @@ def score(model: PipelineModel, df: DataFrame, keys: list[str] | None = None) ->
 
 
 def evaluate(predicted: DataFrame, label: str = LOAD) -> dict[str, float]:
-    """RMSE, MAE and R2 of predictions beside their labels."""
-    return {m: RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=m).evaluate(predicted) for m in ("rmse", "mae", "r2")}
+    """RMSE, MAE and R2 of predictions beside their labels, from one pass; all are NaN without a row, R2 too where all labels are equal."""
+    y, off = F.col(label).cast("double"), F.col(label).cast("double") - F.col("prediction")
+    r = predicted.agg(F.count(off).alias("n"), F.avg(off * off).alias("mse"), F.avg(F.abs(off)).alias("mae"), F.var_pop(F.when(off.isNotNull(), y)).alias("var")).first()
+    if not r["n"]:
+        return dict.fromkeys(("rmse", "mae", "r2"), float("nan"))
+    return {"rmse": r["mse"] ** 0.5, "mae": r["mae"], "r2": 1 - r["mse"] / r["var"] if r["var"] else float("nan")}
 
 
 def prediction_messages(predicted: DataFrame, ts: str = "ts") -> DataFrame:

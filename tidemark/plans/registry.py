@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import roundtrips  # noqa: F401  (adds its queries to those of queries)
+from . import fits, roundtrips  # noqa: F401  (add their queries to those of queries)
 from .queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
