@@ -67,9 +67,15 @@ def test_capitals_of_any_script():
     assert T.words_of("ÉTÉ Über STRASSE".encode()) == ["été".encode(), "über".encode(), b"strasse"] and T.words_of(b"A \xff") == [b"a", "\ufffd".encode()]
 
 
-def test_the_draw_is_bounded_by_all_characters():
-    rows = [(1, 3, "c", 5), (1, 1, "a", 50), (1, 2, "b", 4), (0, 1, "d", 3), (0, 2, "e", 3), (0, 3, "f", 6), (0, 4, "g", 1)]
-    assert T.within(rows, 10) == ["d", "e", "a"] and T.within(rows, 1000) == ["d", "e", "f", "g", "a", "b", "c"]
+def test_windows_of_a_long_training_text():
+    words = [b"w%d" % i for i in range(400)]
+    words[250] = b"(vilemud),"
+    every = T.windows_of(words, SMALL)
+    assert T.chosen(every, {}, len(every), 3) == every
+    got = T.chosen(every, {b"vilemud": 2.0, b"w9": 1.0}, 8, 3)
+    assert len(got) == 8 and sum(words[250] in w for w in got) == sum(words[250] in w for w in every) and any(b"w9" in w for w in got)
+    assert got == [w for w in every if w in got] == T.chosen(every, {b"vilemud": 2.0, b"w9": 1.0}, 8, 3) != T.chosen(every, {b"vilemud": 2.0, b"w9": 1.0}, 8, 4)
+    assert T.windows_of([], SMALL) == [[]] and T.peak([], {}) == 0.0
 
 
 def test_windows_cover_every_word():
@@ -101,9 +107,14 @@ def test_held_out(spark, corpus):
     docs = spark.createDataFrame([r[:2] for r in corpus], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], 1, r[2]) for r in corpus], "doc_id long, quality int, toxic int")
     s = T.Settings(most_toxic=100, most_other=200)
-    rows = T.training_rows(docs, labels, s)
-    assert sum(t for _, t in rows) == 100 and len(rows) == 300
-    net = T.train([T.words_of(b) for b, _ in rows], np.array([t for _, t in rows]), s)
+    bags, y, odds = T.training_rows(docs, labels, s)
+    assert y.sum() == 100 and len(bags) == 300
+    body = {i: T.words_of(t.encode()) for i, t, _ in corpus}
+    drawn = [i for i in body if T.windows_of(body[i], s) in bags]
+    assert len(drawn) >= 300 and odds == pytest.approx(T.telling([body[i] for i in drawn], np.array([corpus[i][2] for i in drawn])))
+    few = T.training_rows(docs, labels, T.Settings(most_toxic=100, most_other=200, most_windows=2))
+    assert max(map(len, few[0])) == 2 and all(any(T.peak(w, odds) > 2 for w in x) for x, t in zip(few[0], few[1], strict=True) if t)
+    net = T.train_windows(bags, y, odds, s)
     got = {r.doc_id: r for r in T.score_toxicity(docs, net).collect()}
     held = [i for i, _, _ in corpus if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sorted(i for i, r in got.items() if r.held_out) == held

@@ -29,9 +29,9 @@ FOLDS = 5
 class Settings:
     """width, hidden: of word and character vectors, of each direction. window, stride: in words.
 
-    most_toxic, most_other: training documents of each label at most, drawn by hash of their ids; most_chars: characters of
-    all of a label's training documents together, which come to the driver whole: the draw ends with the document that would pass them (the first
-    is always taken), so long documents are drawn like others. Scoring has no such bounds.
+    most_toxic, most_other: training documents of each label at most, drawn by hash of their ids, however long they are. most_windows: of a training document that has
+    more windows, half of so many are those with the words that tell most, the others are drawn by hash; they are cut on executors, so the driver gets
+    (most_toxic + most_other) * most_windows windows at most and no whole text. most_words: telling words at most, the most telling ones. Scoring has no such bounds.
     """
 
     width: int = 8
@@ -40,7 +40,8 @@ class Settings:
     stride: int = 12
     most_toxic: int = 1200
     most_other: int = 2000
-    most_chars: int = 40_000_000
+    most_windows: int = 64
+    most_words: int = 50_000
     epochs: int = 14
     guided: int = 4
     batch: int = 64
@@ -265,42 +266,70 @@ class Scorer:
         return [next(parts) if x else self.net.p["c"] for x in texts]
 
 
+def windows_of(words: list[bytes], s: Settings) -> list[list[bytes]]:
+    """All windows of a text, as Scorer cuts them."""
+    n = max(1, -(-(len(words) - s.window) // s.stride) + 1)
+    return [words[j * s.stride : j * s.stride + s.window] for j in range(n)]
+
+
+def log_odds(yes: int, no: int, n_yes: int, n_no: int) -> float:
+    """Of the label for a word that yes of n_yes documents with it hold, and no of n_no without."""
+    return float(np.log((yes + 0.2) / (n_yes + 1)) - np.log((no + 0.2) / (n_no + 1)))
+
+
+def peak(window: list[bytes], odds: dict[bytes, float]) -> float:
+    """The odds of the word of a window that tells most; 0 if none is known."""
+    return max((odds.get(w, 0.0) for w in bare(window)), default=0.0)
+
+
+def chosen(windows: list[list[bytes]], odds: dict[bytes, float], most: int, key: object) -> list[list[bytes]]:
+    """Of more than most windows the half of most that tell most (ties: the first), and others drawn by a hash of key and place; in order."""
+    if len(windows) <= most:
+        return windows
+    ranked = sorted(range(len(windows)), key=lambda i: (-peak(windows[i], odds), i))
+    half = most // 2
+    drawn = sorted(ranked[half:], key=lambda i: (zlib.crc32(b"%s:%d" % (str(key).encode(), i)), i))[: most - half]
+    return [windows[i] for i in sorted(ranked[:half] + drawn)]
+
+
 def telling(texts: list[list[bytes]], y: np.ndarray) -> dict[bytes, float]:
     """Log odds of the label for each word, by the documents that hold it."""
     texts = [bare(x) for x in texts]
     yes, no = Counter(w for x, t in zip(texts, y, strict=True) if t for w in set(x)), Counter(w for x, t in zip(texts, y, strict=True) if not t for w in set(x))
-    a, b = y.sum() + 1, (1 - y).sum() + 1
-    return {w: float(np.log((n + 0.2) / a) - np.log((no[w] + 0.2) / b)) for w, n in yes.items() if n >= 3}
+    return {w: log_odds(n, no[w], y.sum(), (1 - y).sum()) for w, n in yes.items() if n >= 3}
 
 
 def train(texts: list[list[bytes]], y: np.ndarray, s: Settings = Settings()) -> Network:
-    """Fits the network; with one label alone it returns the untrained one with its bias at that label."""
+    """Fits the network to whole texts."""
+    return train_windows([windows_of(x, s) for x in texts], y, telling(texts, y), s)
+
+
+def train_windows(bags: list[list[list[bytes]]], y: np.ndarray, odds: dict[bytes, float], s: Settings = Settings()) -> Network:
+    """Fits the network to the windows of each text; with one label alone it returns the untrained one with its bias at that label."""
     net = Network(s)
-    keep = [i for i, x in enumerate(texts) if x]
-    texts, y = [texts[i] for i in keep], y[keep].astype(np.float32)
+    keep = [i for i, x in enumerate(bags) if x and x[0]]
+    bags, y = [bags[i] for i in keep], y[keep].astype(np.float32)
     if not len(y) or y.min() == y.max():
         net.p["w"][:] = 0
         net.p["c"][:] = 3.0 if len(y) and y[0] else -3.0
         return net
     rng = np.random.default_rng(s.seed)
-    odds = telling(texts, y)
+    ends = np.cumsum([len(x) for x in bags])
+    peaks = [np.array([peak(w, odds) for w in x]) if y[i] else None for i, x in enumerate(bags)]
     weight = {k: np.zeros_like(v, dtype=np.float32) for k, v in net.p.items()}
     rate = s.rate
     for epoch in range(s.epochs):
-        scored = None if epoch < s.guided else Scorer(net).documents(texts)
+        scored = None if epoch < s.guided else np.split(np.concatenate(Scorer(net).documents([w for x in bags for w in x])), ends[:-1])
         picked, label = [], []
-        for i, x in enumerate(texts):
-            n = max(1, -(-(len(x) - s.window) // s.stride) + 1)
+        for i, x in enumerate(bags):
             if scored is not None:
                 best = int(scored[i].argmax())
             elif y[i]:
-                at = int(np.argmax([odds.get(w, 0.0) for w in bare(x)]))
-                least = max(0, -(-(at - s.window + 1) // s.stride))  # one of the windows that hold it
-                best = int(rng.integers(min(least, n - 1), min(at // s.stride, n - 1) + 1))
+                best = int(rng.choice(np.flatnonzero(peaks[i] == peaks[i].max())))  # one of those with the most telling word
             else:
-                best = int(rng.integers(n))
-            for j in {best} | (set() if y[i] else {int(rng.integers(n))}):
-                picked.append(x[j * s.stride : j * s.stride + s.window])
+                best = int(rng.integers(len(x)))
+            for j in {best} | (set() if y[i] else {int(rng.integers(len(x)))}):
+                picked.append(x[j])
                 label.append(y[i])
         label = np.array(label, np.float32)
         order = rng.permutation(len(picked))
@@ -320,33 +349,36 @@ def fold(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def within(rows: list[tuple], most: int) -> list:
-    """Of (group, order, id, size) the ids whose sizes, in order, add up to most at most in their group; the first of a group in any case."""
-    out, total = [], Counter()
-    over = set()
-    for group, _, i, size in sorted(rows):
-        if group not in over and (not total[group] or total[group] + size <= most):
-            out.append(i)
-            total[group] += max(1, size)
-        else:
-            over.add(group)
-    return out
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, s: Settings) -> list[tuple[bytes, int]]:
-    """Texts and labels of the training folds, in the bounds of s.
+def training_rows(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[list[list[list[bytes]]], np.ndarray, dict[bytes, float]]:
+    """Windows of the texts of the training folds, in the bounds of s, their labels, and the log odds of words.
 
-    Of labels that disagree the toxic one counts; of several texts of an id, the one with the least hash.
+    Of labels that disagree the toxic one counts; of several texts of an id, the one with the least hash. Null texts are left out.
     """
     tables = Scratch(docs.sparkSession)
-    known = labels.filter((fold(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.filter((fold(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     drawn = drawn_by_hash(known, "toxic", {1: s.most_toxic, 0: s.most_other})  # so many rows at most
     texts = one_text(docs.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_semi"))
-    texts = tables.keep(texts.filter("text is not null").join(F.broadcast(drawn), "doc_id"), "labelled")
-    sizes = texts.select("toxic", F.xxhash64("doc_id").alias("order"), "doc_id", F.length("text")).collect()
-    rows = texts.filter(F.col("doc_id").isin(within([tuple(r) for r in sizes], s.most_chars))).select("doc_id", "toxic", F.col("text").cast("binary").alias("body")).collect()
+    texts = texts.filter("text is not null").join(F.broadcast(drawn), "doc_id").select(F.col("doc_id").cast("long"), "toxic", "text")
+    texts = tables.keep(texts.repartition(F.xxhash64("doc_id")), "labelled")
+    total = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}  # two rows
+
+    def different(kept: dict, bodies: list[bytes | None]) -> dict:
+        return {"toxic": kept["toxic"], "words": [sorted(set(bare(words_of(b)))) for b in bodies]}
+
+    words = map_texts(texts, different, "toxic int, words array<binary>", ["toxic"]).select("toxic", F.explode("words").alias("word"))
+    words = words.groupBy("word").agg(F.sum("toxic").alias("yes"), F.sum(1 - F.col("toxic")).alias("no")).filter("yes >= 3")
+    counts = words.orderBy(F.desc((F.col("yes") + 0.2) / (F.col("no") + 0.2)), "word").limit(s.most_words).collect()  # so many rows at most
+    odds = {bytes(r["word"]): log_odds(r["yes"], r["no"], total.get(1, 0), total.get(0, 0)) for r in counts}
+
+    def cut(kept: dict, bodies: list[bytes | None]) -> dict:
+        ids = kept["doc_id"].to_pylist()
+        bags = [chosen(windows_of(words_of(b), s), odds, s.most_windows, i) for i, b in zip(ids, bodies, strict=True)]
+        return {"doc_id": kept["doc_id"], "toxic": kept["toxic"], "windows": [[b" ".join(w) for w in x] for x in bags]}
+
+    rows = map_texts(texts, cut, "doc_id long, toxic int, windows array<binary>", ["doc_id", "toxic"]).collect()  # bounded by Settings
     tables.drop()
-    return [(bytes(r["body"]), r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+    rows.sort(key=lambda r: r["doc_id"])
+    return [[bytes(w).split() for w in r["windows"]] for r in rows], np.array([r["toxic"] for r in rows], np.int64), odds
 
 
 def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
@@ -379,6 +411,5 @@ def score_toxicity(docs: DataFrame, net: Network) -> DataFrame:
 
 def op3_bigru_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, s = table(spark, sf_dir, "documents"), Settings()
-    rows = training_rows(docs, table(spark, sf_dir, "labels"), s)
-    net = train([words_of(b) for b, _ in rows], np.array([t for _, t in rows]), s)
-    return score_toxicity(docs, net)
+    bags, y, odds = training_rows(docs, table(spark, sf_dir, "labels"), s)
+    return score_toxicity(docs, train_windows(bags, y, odds, s))
