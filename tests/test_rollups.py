@@ -114,7 +114,7 @@ def test_refresh_makes_dirty_buckets_only(spark, folder):
     raw = spark.read.parquet(folder + "/raw")
     done = store.refresh(raw, far)
     assert done["5 minutes"] <= 40 and 0 < done["1 day"] <= 3
-    kept = {f for f in before if "dirty" not in f and "day=2024-01-02" not in f}
+    kept = {f for f in before if "dirty" not in os.path.relpath(f, folder) and "day=2024-01-02" not in f}
     assert kept and kept <= files(folder + "/rolled")
     for width, df in store.rollups().items():
         close([tuple(r) for r in df.drop("day").collect()], [tuple(r) for r in R.moments(raw, width).collect()])
