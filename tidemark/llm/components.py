@@ -10,10 +10,9 @@ from .common import Scratch
 
 def _done(edges: DataFrame) -> bool:
     """Whether each u has one v, and no v is a u itself."""
-    n, nodes = edges.agg(F.count("*"), F.countDistinct("u")).first()
-    if n != nodes:
-        return False
-    return not edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("is_u")), F.struct(F.col("v").alias("x"), F.lit(0).alias("is_u")))).alias("e"))
+    nodes = ends.groupBy("e.x").agg(F.sum("e.is_u").alias("n"), F.min("e.is_u").alias("least"))
+    return not nodes.agg(F.count_if((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("least") == 0)))).first()[0]
 
 
 def components(links: DataFrame, tables: Scratch | None = None) -> DataFrame:
@@ -28,7 +27,7 @@ def components(links: DataFrame, tables: Scratch | None = None) -> DataFrame:
     while not _done(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))  # repeats go below
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = tables.keep(small.select("e.*").filter("u <> v").distinct(), "edges")
