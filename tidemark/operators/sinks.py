@@ -79,8 +79,9 @@ def replay(df: DataFrame, columns: list[str], mapping: dict[str, str] | None = N
 SLOTS = 4
 
 
-def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = (), slots: int = SLOTS) -> None:
+def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = (), slots: int = SLOTS, ordered: bool = False) -> None:
     """Merges a batch into stored measurements, one row for each (time, type): the batch's wins, within it the last by order (else by all other columns).
+    With ordered a stored row that is later by order than the batch's stays, so an old row that comes again changes nothing; of equals the batch's wins.
 
     Stored by day and by slot, a hash of (time, type); only the slots that the batch has rows for are read and rewritten, so ten rows rewrite ten at most. A store keeps
     the number of slots that it began with; one that is by day alone stays so.
@@ -101,12 +102,18 @@ def upsert_measurements(batch: DataFrame, path: str, order: tuple[str, ...] = ()
         return
     fresh.persist()  # for its slots and its rows
     try:
-        kept = new_only(partitions_of(stored, fresh, layout), fresh, keys).select(*fresh.columns)
-        replace_partitions(spark, kept.unionByName(fresh), path, layout)
+        touched = partitions_of(stored, fresh, layout)
+        if ordered and rest:
+            both = touched.select(*fresh.columns, F.lit(0).alias("_new")).unionByName(fresh.withColumn("_new", F.lit(1)))
+            last = F.max_by(F.struct(*rest), F.struct(*(order or rest), "_new"))
+            merged = both.groupBy(*keys, *layout).agg(last.alias("_row")).select(*keys, *layout, "_row.*").select(*fresh.columns)
+        else:
+            merged = new_only(touched, fresh, keys).select(*fresh.columns).unionByName(fresh)
+        replace_partitions(spark, merged, path, layout)
     finally:
         fresh.unpersist()
 
 
-def foreach_upsert(path: str, order: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+def foreach_upsert(path: str, order: tuple[str, ...] = (), ordered: bool = False) -> Callable[[DataFrame, int], None]:
     """upsert_measurements as a sink of a stream's batches."""
-    return lambda batch, _: upsert_measurements(batch, path, order)
+    return lambda batch, _: upsert_measurements(batch, path, order, ordered=ordered)

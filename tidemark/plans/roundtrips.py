@@ -5,7 +5,7 @@ They cover sources, sinks, streams, maintenance and the model's storage; see que
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,18 +220,19 @@ def stats_of_odd_range(spark, d):
     UNION ALL SELECT '1 hour', date_trunc('hour', time), type, count(*), round(sum(value), 4) + 0.0, round(coalesce(stddev_pop(value), 0) + 1e-9, 6) + 0.0, min(value), max(value) FROM m GROUP BY ALL
     UNION ALL SELECT '1 day', date_trunc('day', time), type, count(*), round(sum(value), 4) + 0.0, round(coalesce(stddev_pop(value), 0) + 1e-9, 6) + 0.0, min(value), max(value) FROM m GROUP BY ALL""".replace("{w}", "5 minutes"))
 def rollups_refreshed(spark, d):
-    """Measurements come in two batches: the greatest values late, with rows that come again. After each the dirty buckets that are closed are made anew."""
+    """Measurements come in two batches: the greatest values late, with rows that come again. After each the dirty buckets that are closed are made anew, in the end all."""
     rows = measurements(spark, d).select(F.date_trunc("second", F.col("time").cast("timestamp")).alias("time"), "value", "type", "event_id")
     root = scratch(spark)
     store = R.RollupStore(spark, f"{root}/rolled")
-    late = F.col("value") > 50
+    late = F.coalesce(F.col("value") > 50, F.lit(False))
     batches = (rows.filter(~late), rows.filter(late | (F.col("event_id") % 50 == 0)))
-    for batch, now in zip(batches, (datetime(2024, 1, 20), datetime(2025, 1, 1)), strict=True):
-        # of a batch and of what is stored the greatest value of a time and type counts, so late rows are those that win
-        sinks.upsert_measurements(batch.drop("event_id"), f"{root}/raw")
+    newest = rows.agg(F.max("time")).first()[0] or NOW
+    for batch, now in zip(batches, (datetime(2024, 1, 20), max(datetime(2025, 1, 1), newest + timedelta(days=3))), strict=True):
+        # of a batch and of what is stored the greatest value of a time and type counts: late rows win, and a smaller one that comes again changes nothing
+        sinks.upsert_measurements(batch.drop("event_id"), f"{root}/raw", ordered=True)
         store.note(batch)
         store.refresh(sources.read_measurements(spark, f"{root}/raw"), now)
-    out = [df.select(F.lit(w).alias("width"), "bucket", "type", "rows", F.round("sum", 4) + F.lit(0.0), F.round(F.sqrt(F.col("m2") / F.col("count")) + 1e-9, 6) + F.lit(0.0), "min", "max").toDF("width", "bucket", "type", "rows", "sum", "std", "min", "max") for w, df in store.rollups().items()]
+    out = [df.select(F.lit(w).alias("width"), "bucket", "type", "rows", F.round("sum", 4) + F.lit(0.0), F.round(F.sqrt(F.coalesce(F.try_divide("m2", "count"), F.lit(0.0))) + 1e-9, 6) + F.lit(0.0), "min", "max").toDF("width", "bucket", "type", "rows", "sum", "std", "min", "max") for w, df in store.rollups().items()]
     return ntz(out[0].unionByName(out[1]).unionByName(out[2]), "bucket")
 
 
