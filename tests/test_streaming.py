@@ -1,5 +1,6 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import streaming as T
@@ -96,3 +97,32 @@ def test_hydrate(spark):
     rows = [("2024-01-01 00:00:00", 1.0, "actual"), ("2024-01-03 00:00:00", 2.0, "actual"), ("2024-01-03 01:00:00", 3.0, "predicted")]
     meas = spark.createDataFrame(rows, "t string, value double, type string").withColumn("time", F.to_timestamp("t"))
     assert sorted(r.value for r in T.hydrate(meas, now=datetime(2024, 1, 3, 2)).collect()) == [2.0, 3.0]
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+@pytest.mark.parametrize("name", ["stream_late_rows", "stream_area_buckets", "stream_without_repeats"])
+def test_a_large_part_is_several_batches_in_order(spark, folder, monkeypatch, name):
+    """No batch holds a whole table, and none of its rows is late because of that: the result is the SQL's."""
+    import duckdb
+
+    from tidemark.plans import queries
+    from tidemark.plans.registry import ORACLES, QUERIES
+
+    monkeypatch.setattr(queries, "BATCH_ROWS", 100, raising=False)
+    monkeypatch.setattr("tidemark.plans.roundtrips.BATCH_ROWS", 25, raising=False)
+    started = []
+    real = T.start
+    monkeypatch.setattr(T, "start", lambda *a, **k: started.append(real(*a, **k)) or started[-1])
+    kinds = ("click", "error", "purchase", "signup", "view")
+    at = lambda i: datetime(2024, 1, 1) + timedelta(minutes=i * 7919 % 14400)  # noqa: E731  (ten days, out of order)
+    data = [(i, at(i // 3), i % 9, kinds[i % 5], float(i % 40), None) for i in range(400)]
+    spark.createDataFrame(data, EVENTS).repartition(3).write.parquet(folder + "/events.parquet")
+    got = QUERIES[name](spark, folder).collect()
+    batches = [p["numInputRows"] for p in started[0].recentProgress if p["numInputRows"]]
+    assert len(batches) >= 4 and max(batches) < 200  # ranges are drawn from a sample
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    want = db.execute(ORACLES[name]).fetchall()
+    assert want and sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

@@ -31,6 +31,8 @@ START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 SPLIT_DAYS = (20, 25)
 #: So that the month of hours that the tables have is several slices.
 SLICE_ROWS = 250
+#: A batch of a stream that is fed in order has about so many rows at most.
+BATCH_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -56,6 +58,28 @@ def stored(df: DataFrame, *keys: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, by: str, rows: int) -> list[DataFrame]:
+    """df in parts of about so many rows, by ranges of a column, the least first. Parts are stored, so each is read once; rows that are equal in by may be in two."""
+    n = -(-df.count() // rows)
+    if n < 2:
+        return [df]
+    path, rest = scratch(df.sparkSession), [c for c in df.columns if c != by]
+    df.repartitionByRange(n, by, *rest).write.parquet(path)
+    files = sorted(df.sparkSession.read.parquet(path).inputFiles(), key=lambda f: f.rpartition("/")[2])  # the names begin with the number of the range
+    return [df.sparkSession.read.schema(df.schema).parquet(f) for f in files]
+
+
+def in_files(df: DataFrame, *parts: DataFrame, by: str | None = None, rows: int | None = None) -> DataFrame:
+    """A stream of df, then of each part, a file to a batch. With by a part of more than so many rows becomes several batches, in order of that column: a task has its
+    share of one batch, not of the table, and a stream with a watermark lets go of what is past.
+    """
+    path = scratch(df.sparkSession)
+    for p in (df, *parts):
+        for x in in_order(p, by, rows or BATCH_ROWS) if by else [p]:
+            x.repartition(1).write.mode("append").option("parquet.block.size", 4 << 20).parquet(path)  # small row groups, so that tasks can share a file
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """The dimension of stations, stored, so that its size is known without another look at the events."""
     return stored(P.require(table(spark, d, "events").select(F.col("user_id").alias("station_id"), area().alias("dk_area")).distinct(), ["dk_area"]))
@@ -453,11 +477,8 @@ def compact_roundtrip(spark, d):
         SELECT user_id, time_bucket(INTERVAL '10 minutes', ts) AS ts, {MEANS_SQL} FROM events GROUP BY ALL) WHERE user_id % 5 < 4 GROUP BY ALL)
     SELECT * FROM b WHERE bucket + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 20 MINUTE""")
 def stream_area_buckets(spark, d):
-    path = f"{d}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    obs = raw.select(F.col("user_id").alias("station_id"), F.col("event_type").alias("parameter_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    out = streaming.area_stream(obs, stations(spark, d), PARAMS, maxima=("view",), counted="click")
+    obs = observations(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = streaming.area_stream(in_files(obs, by="ts"), stations(spark, d), PARAMS, maxima=("view",), counted="click")
     root = scratch(spark)
     streaming.start(out.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/state", once=True).awaitTermination()
     return rounded(spark.read.schema(out.schema).parquet(f"{root}/out").withColumn("bucket", F.col("bucket").cast("timestamp_ntz")))

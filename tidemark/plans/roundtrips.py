@@ -23,7 +23,7 @@ from ..operators import series as S
 from ..operators import sinks
 from ..session import scratch
 from . import features, model
-from .queries import AREA_SQL, BUCKETS_SQL, END, LOAD_SQL, PARAMS, PARTS_SQL, START, area, buckets, hours, load, load_ts, measurements, query, rounded, stored, table
+from .queries import AREA_SQL, BATCH_ROWS, BUCKETS_SQL, END, LOAD_SQL, PARAMS, PARTS_SQL, START, area, buckets, hours, in_files, load, load_ts, measurements, query, rounded, stored, table
 
 NOW = datetime(2024, 1, 30)
 _RANGE = f"ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}'"
@@ -337,19 +337,11 @@ def written_once(spark, d):
     return rounded(spark.read.parquet(path)).select(*J.BUCKET_KEYS, "click")
 
 
-def in_files(df: DataFrame, *parts: DataFrame) -> DataFrame:
-    """A stream of df, then of each part, a file to a batch."""
-    path = scratch(df.sparkSession)
-    for p in (df, *parts):
-        p.coalesce(1).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 @query("""SELECT user_id AS station_id, event_type AS parameter_id, ts, count(*) AS n FROM (SELECT DISTINCT user_id, event_type, ts FROM events) GROUP BY ALL""")
 def stream_without_repeats(spark, d):
     root = scratch(spark)
     obs = table(spark, d, "events").select(F.col("user_id").alias("station_id"), F.col("event_type").alias("parameter_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
-    out = streaming.dedup_stream(in_files(obs, obs), delay="60 days")
+    out = streaming.dedup_stream(in_files(obs, obs, by="ts", rows=4 * BATCH_ROWS), delay="60 days")  # each batch copies the state, so they are larger
     streaming.start(out.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/state", once=True).awaitTermination()
     return ntz(spark.read.schema(out.schema).parquet(f"{root}/out"), "ts").groupBy("station_id", "parameter_id", "ts").agg(F.count("*").alias("n"))
 
@@ -362,7 +354,7 @@ def stream_late_rows(spark, d):
     obs = table(spark, d, "events").select(F.col("user_id").alias("station_id"), F.col("event_type").alias("parameter_id"), F.col("ts").cast("timestamp").alias("ts"), "value")
     newest = S.top_newest(obs, ["ts"], 1)
     late = obs.filter(F.col("ts") < F.lit(START)).withColumn("value", F.col("value") + 1000)
-    out = streaming.bucket_stream(in_files(obs, newest.withColumn("parameter_id", F.lit("view")), newest.withColumn("parameter_id", F.lit("view")), late), PARAMS)
+    out = streaming.bucket_stream(in_files(obs, newest.withColumn("parameter_id", F.lit("view")), newest.withColumn("parameter_id", F.lit("view")), late, by="ts"), PARAMS)
     streaming.start(out.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/state", once=True).awaitTermination()
     got = spark.read.schema(out.schema).parquet(f"{root}/out").select("station_id", F.col("window.start").alias("bucket"), "click")
     return rounded(ntz(got, "bucket"))
@@ -448,7 +440,7 @@ def live_newest(spark, d):
     bounds = rows.agg(F.expr("percentile_approx(event_id, array(0.4, 0.7))")).first()[0]
     batches = rows.filter(F.col("event_id") <= bounds[0]), rows.filter(F.col("event_id").between(bounds[0] + 1, bounds[1])), rows.filter(F.col("event_id") > bounds[1])
     root = scratch(spark)
-    out = state.live_points(in_files(*batches), "event_id", shards=2, keep="400 days", now=LIVE_NOW)
+    out = state.live_points(in_files(*batches, by="event_id"), "event_id", shards=2, keep="400 days", now=LIVE_NOW)
     state.take_all(out.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("append").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/state"))
     newest = state.newest_live(spark.read.schema(out.schema).parquet(f"{root}/out"))
     return rounded(ntz(newest.select("type", "timestamp", "value", "dk_area", "n"), "timestamp"))
